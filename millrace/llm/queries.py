@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, secrets, simhash
+from . import embedding_dedup, language, packing, quality, rollup, secrets, sentencepiece_viterbi, simhash, toxicity
+from .common import ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -18,6 +20,23 @@ def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(_table(spark, sf_dir, "documents"), owner="source", repository="lang")
 
 
+def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_viterbi.round_trips(_table(spark, sf_dir, "documents"))
+
+
+def op5_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts are the sources; a host's paths are its languages' parts."""
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op6_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.piece_digests(packing.pack_documents(_table(spark, sf_dir, "documents")))
+
+
 def op7_int8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
 
@@ -26,12 +45,26 @@ def op8_gph_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), radius=2, words=3)
 
 
+def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.corpus_rollup(_table(spark, sf_dir, "documents"))
+
+
+def op10_cross_parse_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_ownership,
+        op2_toxicity_chain,
+        op4_sentencepiece_viterbi,
+        op5_quality_bayes,
+        op6_sum_of_squares_packing,
         op7_int8_embedding_dedup,
         op8_gph_simhash,
+        op9_token_rollup,
+        op10_cross_parse_language,
     )
 }
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, language, packing, quality, rollup, secrets, sentencepiece_viterbi, simhash, toxicity
+from . import embedding_dedup, imatch, language, packing, quality, rollup, secrets, sentencepiece_viterbi, simhash, toxicity
 from .common import ship
 
 
@@ -24,6 +24,10 @@ def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_viterbi.round_trips(_table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_secret_ownership,
         op2_toxicity_chain,
+        op3_imatch_fingerprints,
         op4_sentencepiece_viterbi,
         op5_quality_bayes,
         op6_sum_of_squares_packing,

@@ -2,85 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_OWN_DIR: dict[str, str] = {}
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package's modules to the executors, once for each application."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="millrace-")) / "millrace-modules.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for file in sorted(package.rglob("*.py")):
-            z.write(file, file.relative_to(package.parent))
-    spark.sparkContext.addPyFile(str(archive))
-    _SHIPPED.add(app)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
-
-    Where that setting is absent (tests, local mode) a fresh temporary folder is used.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_DIR:
-        _OWN_DIR[app] = "file://" + tempfile.mkdtemp(prefix="millrace-")
-    return _OWN_DIR[app]
-
-
-def hadoop_path(spark: SparkSession, path: str):
-    """(file system, path) of ``path`` as Hadoop sees them."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    with contextlib.suppress(Exception):  # the JVM may be gone at exit
-        fs, where = hadoop_path(spark, path)
-        fs.delete(where, True)
-
-
-def new_path(spark: SparkSession, tag: str) -> str:
-    """A new path in the shared folder, removed when the driver ends."""
-    path = f"{shared_dir(spark)}/millrace-{tag}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
-    return path
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
-
-    This cuts the lineage, and survives lost executors, since no block of it
-    lives on an executor.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_path_of(df: DataFrame) -> None:
-    """Remove the files behind a frame that ``materialize`` returned."""
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        _remove(df.sparkSession, path)
+from ..plans.storage import drop_files_of, hadoop_path, materialize, new_path, shared_dir, ship
 
+__all__ = ["drop_files_of", "hadoop_path", "let", "materialize", "new_path", "running_sums", "shared_dir", "ship"]
 
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, whatever the optimizer inlines."""

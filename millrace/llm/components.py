@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_path_of, materialize
+from .common import drop_files_of, materialize
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
         .distinct()
     )
-    e = materialize(e, "edges")
+    e = materialize(e, "edges", narrow=True)
     state = None
     while True:
         mark = e.agg(
@@ -50,6 +50,6 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
                 e.select(F.col("v").alias("node"), F.col("v").alias("root"))
             ).distinct()
         state = mark
-        new = materialize(_small_star(_large_star(e).distinct()).distinct(), "edges")
-        drop_path_of(e)
+        new = materialize(_small_star(_large_star(e).distinct()).distinct(), "edges", narrow=True)
+        drop_files_of(e)
         e = new

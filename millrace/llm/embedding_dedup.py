@@ -168,7 +168,7 @@ def near_duplicate_vectors(
         return pd.DataFrame({"_rep": rep, "_links": lx if ly is None else np.concatenate([lx, ly]), "_root": rep[root]})
 
     found = materialize(
-        dealt.groupBy("_label", "_dim", "_i", "_j").applyInPandas(task, "_rep long, _links long, _root long"), "tile-links"
+        dealt.groupBy("_label", "_dim", "_i", "_j").applyInPandas(task, "_rep long, _links long, _root long"), "tile-links", narrow=True
     )
     counts = found.groupBy("_rep").agg(F.sum("_links").alias("_links"))
     parts = connected_components(found.where("_rep <> _root"), "_rep", "_root").select(F.col("node").alias("_rep"), F.col("root").alias("_root"))

@@ -139,7 +139,7 @@ def with_guests(rows: DataFrame, id_col: str, tie: str) -> DataFrame:
     heads = ranged.groupBy("_range").agg(F.max(F.struct(id_col, tie)).alias("_top"))
     by_range = Window.orderBy(F.desc("_range"))
     host = F.coalesce(F.lag("_range").over(by_range), F.min("_range").over(Window.partitionBy()))
-    hosts = materialize(heads.select(F.col("_range").alias("_r"), "_top", host.alias("_host")), "ranges")
+    hosts = materialize(heads.select(F.col("_range").alias("_r"), "_top", host.alias("_host")), "ranges", narrow=True)
     is_top = F.col(id_col).eqNullSafe(F.col("_top")[id_col]) & (F.col(tie) == F.col("_top")[tie])
     sent = ranged.join(F.broadcast(hosts), (F.col("_range") == F.col("_r")) & is_top)
     guests = sent.select(*rows.columns, F.col("_host").alias("_range"), F.lit(1).alias("_guest"))

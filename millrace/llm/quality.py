@@ -165,15 +165,15 @@ def site_posteriors(scored: DataFrame) -> tuple[DataFrame, float, float]:
     ``scored`` has ``_host``, ``_path`` and the evidence ``_p``; ``_prior`` is the
     posterior of the host.
     """
-    paths = materialize(scored.groupBy("_host", "_path").agg(F.count("*").alias("_n"), F.sum("_p").alias("_good")), "paths")
-    hosts = materialize(paths.groupBy("_host").agg(F.sum("_n").alias("_hn"), F.sum("_good").alias("_hgood")), "hosts")
+    paths = materialize(scored.groupBy("_host", "_path").agg(F.count("*").alias("_n"), F.sum("_p").alias("_good")), "paths", narrow=True)
+    hosts = materialize(paths.groupBy("_host").agg(F.sum("_n").alias("_hn"), F.sum("_good").alias("_hgood")), "hosts", narrow=True)
     n, good = hosts.agg(F.sum("_hn"), F.sum("_hgood")).first()
     share = float(np.clip(good / n, _EDGE, 1 - _EDGE)) if n else 1 - _EDGE
     strength = _strength(hosts, "_hn", "_hgood", F.lit(share))
     posterior = (F.lit(strength * share) + F.col("_hgood")) / (F.lit(strength) + F.col("_hn"))
     known = hosts.select(F.col("_host").alias("_h"), posterior.alias("_prior"))
     joined = paths.join(known, F.col("_host").eqNullSafe(F.col("_h"))).drop("_h")
-    joined = materialize(joined, "path-priors")
+    joined = materialize(joined, "path-priors", narrow=True)
     return joined, _strength(joined, "_n", "_good", F.col("_prior")), share
 
 

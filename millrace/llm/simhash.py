@@ -159,7 +159,7 @@ def links(fps: DataFrame, radius: int = 2) -> DataFrame:
 
 def groups(marked: DataFrame, radius: int = 2) -> DataFrame:
     """``_fp`` and ``_root`` (a fingerprint of its component) for each distinct ``_fp``."""
-    fps = materialize(marked.select("_fp").distinct(), "fingerprints")
+    fps = materialize(marked.select("_fp").distinct(), "fingerprints", narrow=True)
     found = connected_components(links(fps, radius), "a", "b")
     return fps.join(found.withColumnRenamed("node", "_fp"), "_fp", "left").select("_fp", F.coalesce("root", "_fp").alias("_root"))
 
@@ -171,7 +171,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     least = marked.groupBy("_fp").agg(F.min("_id").alias("_least"))
     known = root.join(least, "_fp")
     ids = known.groupBy("_root").agg(F.min("_least").alias("_component"))
-    by_fp = materialize(known.join(ids, "_root").select("_fp", "_component"), "components")
+    by_fp = materialize(known.join(ids, "_root").select("_fp", "_component"), "components", narrow=True)
     return marked.join(by_fp, "_fp").select(
         F.col("_id").alias(id_col),
         F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),

@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.storage import drop_files_of, hadoop_path, materialize, new_path, shared_dir, ship
+from ..plans import storage
+from ..plans.storage import drop_files_of, hadoop_path, materialize, new_path, shared_dir
 
 __all__ = ["drop_files_of", "hadoop_path", "let", "materialize", "new_path", "running_sums", "shared_dir", "ship"]
 
+#: Most rows and bytes that go to a Python worker at once: texts may be very long.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, and bound what their Python workers hold."""
+    storage.ship(spark)
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = int(spark.conf.get(f"spark.sql.execution.arrow.{key}").rstrip("bB"))
+        if now <= 0 or now > most:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, whatever the optimizer inlines."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -110,7 +110,7 @@ def readability(text: Column | str) -> Column:
         n = F.size(s["words"])
         syllables = F.aggregate(s["words"], F.lit(0), lambda acc, w: acc + count_syllables(w))
         ease = F.lit(206.835) - F.lit(1.015) * (n / s["sentences"]) - F.lit(84.6) * (syllables / n)
-        return F.when((n == 0) | (s["sentences"] == 0), 0.0).otherwise(F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), ease / 100.0)), 4))
+        return F.when((n == 0) | (s["sentences"] == 0), 0.0).otherwise(round4(F.greatest(F.lit(0.0), F.least(F.lit(1.0), ease / 100.0))))
 
     # One array element binds the words, so that they are extracted once.
     return F.element_at(F.transform(F.array(F.struct(found.alias("words"), sentences.alias("sentences"))), score), 1)
@@ -181,5 +181,21 @@ def split_sentences(text: Column | str) -> Column:
     return F.filter(F.transform(parts, strip), lambda s: F.length(s) > 15)
 
 
-def round_half(value: Column, places: int = 4) -> Column:
-    return F.round(value, places)
+def round4(value: Column) -> Column:
+    """Rounded to 4 places by the exact binary value, ties to even, as Python's ``round``.
+
+    ``F.round`` goes by the shortest decimal form, which makes ties of values that are
+    not. The product with 10,000 and its rounding error (Dekker) tell a true tie from a
+    value a little off.
+    """
+
+    def rounded(x: Column) -> Column:
+        p = x * 10000.0
+        c = x * 134217729.0
+        high = c - (c - x)
+        error = (high * 10000.0 - p) + (x - high) * 10000.0
+        low = F.floor(p)
+        tie = F.when(error < 0, low).when(error > 0, low + 1).otherwise(low + low % 2)
+        return F.when(p - low == 0.5, tie).when(p - low > 0.5, low + 1).otherwise(low) / 10000.0
+
+    return F.element_at(F.transform(F.array(value.cast("double")), rounded), 1)

@@ -25,8 +25,9 @@ def simhash(docs: DataFrame, *, key: str = "pos", text: str = "text", target: st
     Tokens are exploded by position and shingles read by ``lead``, so the array is built
     once; votes are summed before the exchange.
     """
-    tokens = docs.select(F.col(key).alias("_k"), F.split(tx.normalize_for_similarity(text), " ").alias("_w"))
-    each = tokens.select("_k", F.size("_w").alias("_n"), F.posexplode(F.filter("_w", lambda w: w != "")).alias("_i", "_t"))
+    # The split stands behind a generator, so that it is not built again for its size.
+    split = docs.select(F.col(key).alias("_k"), F.explode(F.array(F.split(tx.normalize_for_similarity(text), " +"))).alias("_w"))
+    each = split.select("_k", F.size("_w").alias("_n"), F.posexplode("_w").alias("_i", "_t")).where("_t <> ''")
     order = Window.partitionBy("_k").orderBy("_i")
     gram = F.concat_ws(" ", "_t", F.lead("_t", 1).over(order), F.lead("_t", 2).over(order))
     grams = each.withColumn("_g", gram).where(F.col("_i") < F.greatest(F.lit(1), F.col("_n") - 2))
@@ -116,11 +117,11 @@ def mark_near(docs: DataFrame, *, fingerprint: str = "simhash", pos: str = "pos"
 
 def deduplicate(docs: DataFrame, *, threshold: float = 0.92, pos: str = "pos", content: str = "content_hash", text: str = "text") -> DataFrame:
     """All rows with ``dedup_status`` (kept, exact, near) and ``out_pos``, the order after it."""
-    exact = mark_exact(docs, content=content, pos=pos)
-    left = simhash(exact.where("not is_exact_duplicate"), key=pos, text=text)
-    near = mark_near(left, pos=pos, threshold=threshold)
-    status = near.select(pos, "simhash", "is_near_duplicate", "bucket_pos")
-    joined = exact.join(status, pos, "left")
+    exact = materialize(mark_exact(docs.select(pos, content), content=content, pos=pos).select(pos, "is_exact_duplicate"), "exact", narrow=True)
+    left = docs.select(pos, text).join(exact.where("not is_exact_duplicate"), pos, "left_semi")
+    prints = materialize(simhash(left, key=pos, text=text).select(pos, "simhash"), "simhash", narrow=True)
+    status = mark_near(prints, pos=pos, threshold=threshold)
+    joined = docs.join(exact, pos).join(status, pos, "left")
     return joined.withColumn(
         "dedup_status", F.when(F.col("is_exact_duplicate"), "exact").when(F.col("is_near_duplicate"), "near").otherwise("kept")
     ).drop("is_exact_duplicate", "is_near_duplicate")

@@ -123,7 +123,11 @@ def generate(chunks: DataFrame, documents: DataFrame, *, templates: list[str] |
         {"_body": tx.strip(tx.strip_code_blocks("text")), "_blocks": tx.extract_code_blocks("text"), "_lower": F.lower("text")}
     )
     c = Chunk()
-    made = F.flatten(F.array(*[F.transform(TEMPLATES[n](c), lambda e, i, k=k: F.struct(F.lit(k).alias("tpl"), i.alias("place"), e.alias("e"))) for k, n in enumerate(names)]))
+
+    def numbered(k: int, made: Column) -> Column:
+        return F.transform(made, lambda e, i: F.struct(F.lit(k).alias("tpl"), i.alias("place"), e.alias("e")))
+
+    made = F.flatten(F.array(*[numbered(k, TEMPLATES[n](c)) for k, n in enumerate(names)]))
     keep = ["document_id", "chunk_id", "chunk_index", "source", "category", "framework", "url", "quality_score"]
     # The generator gets the array as one item first, so that it is built once.
     rows = joined.select(*keep, F.explode(F.array(made)).alias("_made")).select(*keep, F.explode("_made").alias("m"))

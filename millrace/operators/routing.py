@@ -60,7 +60,7 @@ def confusion(routed: DataFrame, domains: list, *, truth: str, guess: str) -> Da
     spark = routed.sparkSession
     kind = routed.schema[truth].dataType
     rows = spark.createDataFrame([(d,) for d in domains], "d " + kind.simpleString())
-    counts = routed.groupBy(truth).pivot(guess, domains).agg(F.count("*"))
+    counts = routed.groupBy(truth).pivot(guess, domains).agg(F.count(F.lit(1)))
     return rows.join(counts, rows["d"] == counts[truth], "left").drop(truth).withColumnRenamed("d", truth).na.fill(0)
 
 

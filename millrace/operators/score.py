@@ -39,7 +39,7 @@ def features(
     credit = F.lit(0.5)
     for name, value in CREDIBILITY.items():
         credit = F.when(F.col(source) == name, F.lit(value)).otherwise(credit)
-    r4 = lambda c: F.round(c, 4)
+    r4 = tx.round4
     return {
         "token_count": r4(F.when(tokens < min_tokens, size * 0.3).otherwise(size)),
         "code_ratio": r4(F.greatest(F.lit(0.0), F.lit(1.0) - F.abs(tx.code_character_ratio(t) - 0.35) / 0.65)),
@@ -59,7 +59,7 @@ def score(docs: DataFrame, **options) -> DataFrame:
     total = F.lit(0.0)
     for name, weight in WEIGHTS.items():
         total = total + F.lit(weight) * F.col(f"quality_report.{name}")
-    return out.withColumn("quality_score", F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), total)), 4))
+    return out.withColumn("quality_score", tx.round4(F.least(F.lit(1.0), F.greatest(F.lit(0.0), total))))
 
 
 def rejection_reason(
@@ -87,7 +87,7 @@ def filter_report(marked: DataFrame) -> DataFrame:
     counts = [F.count_if(F.col("reason") == r).alias(r) for r in REASONS]
     return marked.agg(
         total.alias("total"), (total - removed).alias("kept"), removed.alias("removed"),
-        F.coalesce(F.round(removed / total, 4), F.lit(0.0)).alias("removal_rate"), *counts,
+        F.coalesce(tx.round4(removed / total), F.lit(0.0)).alias("removal_rate"), *counts,
     )
 
 

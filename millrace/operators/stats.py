@@ -10,7 +10,7 @@ from ..functions import text as tx
 
 def average(value: Column | str) -> Column:
     """Mean of what is not null, rounded to 4 places, 0 of nothing."""
-    return F.coalesce(F.round(F.avg(tx.col(value)), 4), F.lit(0.0))
+    return F.coalesce(tx.round4(F.avg(tx.col(value))), F.lit(0.0))
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:

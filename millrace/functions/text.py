@@ -11,7 +11,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SPACE = r"[\s\x1c-\x1f]"
@@ -37,6 +37,18 @@ def col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def with_bound(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """As ``withColumns``, but each value is computed once, whatever refers to it.
+
+    The optimizer copies an expression into all that refers to it, filters above it
+    included; it does not look through a generator of one item.
+    """
+    keep = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    made = F.explode(F.array(F.struct(*[v.alias(n) for n, v in columns.items()]))).alias("_bound")
+    out = df.select(*keep, made).select(*keep, *[F.col(f"_bound.{n}").alias(n) for n in columns])
+    return out.select(*df.columns, *[n for n in columns if n not in df.columns])
+
+
 def strip(text: Column | str) -> Column:
     """Without white space at either end."""
     return F.regexp_replace(col(text), F.lit(_STRIP), F.lit(""))

@@ -19,7 +19,7 @@ ENTITIES = (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#3
 
 
 def replace_first(text: Column, what: Column, by: Column) -> Column:
-    at = F.locate_column(what, text) if hasattr(F, "locate_column") else F.call_function("locate", what, text)
+    at = F.call_function("locate", what, text)
     return F.when(at > 0, F.concat(F.substring(text, F.lit(1), at - 1), by, F.substring(text, at + F.length(what), F.length(text)))).otherwise(text)
 
 
@@ -78,18 +78,17 @@ def clean_text(text: Column | str, nfkc: bool = True) -> Column:
 def clean(docs: DataFrame, *, text: str = "text", nfkc: bool = True) -> DataFrame:
     """``docs`` with cleaned texts; those that come out blank are dropped."""
     if not nfkc:
-        return docs.withColumn(text, clean_text(text, nfkc=False)).where(tx.strip(text) != "")
-    # Python runs between two native projections, so each part is computed once.
+        return tx.with_bound(docs, {text: clean_text(text, nfkc=False)}).where(tx.strip(text) != "")
     raw = F.col(text)
     fences = _marked(F.transform(tx.extract_code_blocks(raw), _fenced))
-    step = docs.withColumn("_fences", fences)
+    step = tx.with_bound(docs, {"_fences": fences})
     protected = F.aggregate("_fences", raw, lambda acc, b: replace_first(acc, b["fence"], b["mark"]))
     out = tx.clean_markdown_links(tx.remove_boilerplate_lines(remove_license_blocks(remove_html_artifacts(protected))))
     step = step.withColumn("_prose", tx.normalize_unicode(out))
     final = tx.normalize_whitespace(F.aggregate("_fences", normalize_markdown_structure("_prose"), lambda acc, b: replace_first(acc, b["mark"], b["fence"])))
-    return step.withColumn(text, final).drop("_fences", "_prose").where(tx.strip(text) != "")
+    return tx.with_bound(step, {text: final}).drop("_fences", "_prose").where(tx.strip(text) != "")
 
 
 def enrich(docs: DataFrame, *, text: str = "text") -> DataFrame:
     """Length, token count and content hash of each text."""
-    return docs.withColumns({"document_length_chars": F.length(text), "token_count": tx.count_tokens(text), "content_hash": tx.stable_hash(text)})
+    return tx.with_bound(docs, {"document_length_chars": F.length(text), "token_count": tx.count_tokens(text), "content_hash": tx.stable_hash(text)})

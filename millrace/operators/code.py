@@ -70,6 +70,6 @@ def dominant_language(blocks: Column) -> Column:
 
 def extract(docs: DataFrame, *, text: str = "text") -> DataFrame:
     """``docs`` with ``code_blocks`` and, where it was null, ``programming_language``."""
-    out = docs.withColumn("code_blocks", code_blocks(text))
+    out = tx.with_bound(docs, {"code_blocks": code_blocks(text)})
     known = F.col("programming_language") if "programming_language" in docs.columns else F.lit(None).cast("string")
     return out.withColumn("programming_language", F.coalesce(known, dominant_language(F.col("code_blocks"))))

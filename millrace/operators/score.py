@@ -55,11 +55,11 @@ def features(
 
 def score(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with ``quality_report`` (the features) and ``quality_score``."""
-    out = docs.withColumn("quality_report", F.struct(*[c.alias(n) for n, c in features(**options).items()]))
+    out = tx.with_bound(docs, {"quality_report": F.struct(*[c.alias(n) for n, c in features(**options).items()])})
     total = F.lit(0.0)
     for name, weight in WEIGHTS.items():
         total = total + F.lit(weight) * F.col(f"quality_report.{name}")
-    return out.withColumn("quality_score", tx.round4(F.least(F.lit(1.0), F.greatest(F.lit(0.0), total))))
+    return tx.with_bound(out, {"quality_score": tx.round4(F.least(F.lit(1.0), F.greatest(F.lit(0.0), total)))})
 
 
 def rejection_reason(

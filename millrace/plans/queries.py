@@ -43,9 +43,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+_MD: dict[tuple[str, str], DataFrame] = {}
+
+
 def md(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents(spark, sf_dir).createOrReplaceTempView("millrace_documents")
-    return spark.sql(markdown_sql("millrace_documents"))
+    """The Markdown view, written once for each application as the queries' input table."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MD:
+        documents(spark, sf_dir).createOrReplaceTempView("millrace_documents")
+        view = spark.sql(markdown_sql("millrace_documents"))
+        _MD[key] = materialize(view.hint("rebalance"), "markdown")
+    return _MD[key]
 
 
 # -- pieces of SQL ----------------------------------------------------------------
@@ -367,8 +375,7 @@ S_FEATURES = f"""{MD}, a AS (SELECT pos, source, category, text, {s_tokens('text
 
 
 def scored_md(spark, d) -> DataFrame:
-    # A stage boundary: what is asked of the reasons must not compute the features again.
-    rows = materialize(score.score(code.extract(clean.enrich(md(spark, d)))), "scored")
+    rows = score.score(code.extract(clean.enrich(md(spark, d))))
     return rows.withColumn("reason", score.rejection_reason(min_score=0.6, min_readability=0.15))
 
 

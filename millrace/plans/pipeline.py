@@ -17,9 +17,13 @@ from pyspark.sql.window import Window
 from ..operators import chunk, clean, code, dedup, generate, score, split, stats, validate
 from . import sinks
 from .config import Chunking, Export, Generation, Quality
+from .logs import get_logger
 from .storage import materialize, ship
 
-STAGES = ("collect", "clean", "score", "chunk", "filter", "generate", "validate", "export")
+log = get_logger("run")
+
+#: The boundaries that a run writes.
+STAGES = ("collect", "clean", "score", "filter", "chunk", "generate", "validate", "export")
 
 
 @dataclass
@@ -74,6 +78,7 @@ def run(spark: SparkSession, docs: DataFrame, out: str, settings: Settings | Non
 
     def bound(df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{out}/{name}")
+        log.info("wrote %s", name)
         return spark.read.parquet(f"{out}/{name}")
 
     raw = bound(docs, "collect")

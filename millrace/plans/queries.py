@@ -13,7 +13,7 @@ from ..sources import files, html
 from ..streaming import stateless
 from .markdown_view import markdown_sql
 from .pipeline import Settings, chunked, cleaned, generated, marked, scored
-from .storage import materialize, ship
+from .storage import materialize, ship, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,6 +43,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For what costs much for each text."""
+    return spread(documents(spark, sf_dir))
+
+
 _MD: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -50,9 +55,8 @@ def md(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Markdown view, written once for each application as the queries' input table."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MD:
-        documents(spark, sf_dir).createOrReplaceTempView("millrace_documents")
-        view = spark.sql(markdown_sql("millrace_documents"))
-        _MD[key] = materialize(view.hint("rebalance"), "markdown")
+        spread_documents(spark, sf_dir).createOrReplaceTempView("millrace_documents")
+        _MD[key] = materialize(spark.sql(markdown_sql("millrace_documents")), "markdown")
     return _MD[key]
 
 
@@ -152,7 +156,7 @@ def txt07_code_character_ratio(spark, d):
 
 @query(f"SELECT doc_id, {s_readability('text')} AS readability FROM documents")
 def txt08_readability(spark, d):
-    return documents(spark, d).select("doc_id", tx.readability("text").alias("readability"))
+    return spread_documents(spark, d).select("doc_id", tx.readability("text").alias("readability"))
 
 
 @query(
@@ -160,7 +164,7 @@ def txt08_readability(spark, d):
     ELSE len(regexp_extract_all(word, '[aeiouy]+')) END)::INTEGER AS syllables FROM (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z'']+'))) AS word FROM documents)"""
 )
 def txt09_count_syllables(spark, d):
-    words = documents(spark, d).select(F.explode(F.array(F.regexp_extract_all("text", F.lit("[A-Za-z']+"), F.lit(0)))).alias("w")).select(F.explode("w").alias("w"))
+    words = spread_documents(spark, d).select(F.explode(F.array(F.regexp_extract_all("text", F.lit("[A-Za-z']+"), F.lit(0)))).alias("w")).select(F.explode("w").alias("w"))
     words = words.select(F.lower("w").alias("word"))
     return words.distinct().select("word", tx.count_syllables(F.col("word")).alias("syllables"))
 
@@ -217,7 +221,7 @@ def s_simhash(source: str) -> str:
 
 @query(f"SELECT k AS doc_id, fp AS simhash FROM ({s_simhash('SELECT doc_id AS k, text FROM documents')})")
 def hsh04_simhash(spark, d):
-    return dedup.simhash(documents(spark, d), key="doc_id").select("doc_id", "simhash")
+    return dedup.simhash(spread_documents(spark, d), key="doc_id").select("doc_id", "simhash")
 
 
 HALF = "SELECT doc_id AS k, left(text, (length(text) // 2)::INTEGER) AS text FROM documents"
@@ -316,7 +320,7 @@ def cln01_02_clean(spark, d):
 )
 def cln06_clean_plain(spark, d):
     """The chain over texts without fences, where nothing is protected."""
-    return clean.clean(documents(spark, d)).select("doc_id", "text")
+    return clean.clean(spread_documents(spark, d)).select("doc_id", "text")
 
 
 @query()
@@ -434,7 +438,7 @@ def ded01_exact(spark, d):
 
 @query()
 def ded02_03_near(spark, d):
-    rows = documents(spark, d).select(F.col("doc_id").alias("pos"), "text").withColumn("content_hash", tx.stable_hash("text"))
+    rows = spread_documents(spark, d).select(F.col("doc_id").alias("pos"), "text").withColumn("content_hash", tx.stable_hash("text"))
     return dedup.deduplicate(rows).select("pos", "dedup_status", "simhash", "bucket_pos")
 
 
@@ -774,7 +778,7 @@ def str02_sessions(spark, d):
 )
 def survival_by_reason(spark, d):
     """How many documents survive, and why were the others dropped?"""
-    rows = documents(spark, d).select(F.col("doc_id").alias("pos"), tx.stable_hash("text").alias("content_hash"), tx.count_tokens("text").alias("token_count"), tx.readability("text").alias("readability"))
+    rows = spread_documents(spark, d).select(F.col("doc_id").alias("pos"), tx.stable_hash("text").alias("content_hash"), tx.count_tokens("text").alias("token_count"), tx.readability("text").alias("readability"))
     # Texts end here: what is shuffled by content hash is numbers.
     checked = dedup.mark_exact(rows).withColumn("quality_score", tx.round4(F.lit(0.0) + F.lit(0.6) * F.least(F.lit(1.0), F.col("token_count") / 800.0) + F.lit(0.4) * F.col("readability")))
     reason = score.rejection_reason(min_score=0.2, min_readability=0.15, duplicate=F.col("is_exact_duplicate"), readability="readability")

@@ -76,6 +76,15 @@ def materialize(df: DataFrame, tag: str, narrow: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in a part for each core where it comes in fewer, as from one small file.
+
+    Tables of many files have more parts than cores and are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def drop_files_of(df: DataFrame) -> None:
     """Remove the files behind a frame that ``materialize`` returned."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:

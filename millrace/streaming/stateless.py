@@ -1,8 +1,8 @@
 """The stateless stages, exact deduplication and rollups over streams.
 
 What depends on one document alone runs on a stream as it does on a table. Exact
-deduplication keeps first sightings within a watermark; near-duplicates need the order
-of all documents and are left to batches (``near_duplicates_by_batch``).
+deduplication keeps first sightings within a watermark; what needs all documents, such as
+near-duplicates and the cap of examples, is left to batches (``by_batch``).
 """
 
 from __future__ import annotations

@@ -120,3 +120,23 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
     q = first.writeStream.format("memory").queryName("firsts").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("firsts").count() == docs.select("text").distinct().count()
+
+
+def test_encoded_tokens(spark):
+    import public_tokenizers
+
+    from millrace.functions import tokens
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    df = spark.createDataFrame([("hello world again",), ("",), (None,)], "t string")
+    row = df.select(tokens.count_encoded("t", path).alias("n"), tokens.truncate_encoded("t", 2, path).alias("cut"), tokens.count_encoded("t", "/no/such/file").alias("fallback")).collect()
+    assert [r["n"] for r in row] == [3, 0, 0] and row[0]["cut"] == "hello world" and row[0]["fallback"] == 3
+
+
+def test_logging(tmp_path):
+    from millrace.plans import logs
+
+    logs.configure_logging(str(tmp_path), as_json=True)
+    logs.get_logger("x").info("done %d", 3)
+    logs.configure_logging()
+    assert json.loads((tmp_path / "pipeline.log").read_text())["message"] == "done 3"

@@ -23,6 +23,9 @@ def test_config(tmp_path, monkeypatch):
     over = tmp_path / "o.yaml"
     over.write_text("quality: {min_quality_score: 0.1}")
     assert config.load_config(at, over).quality.min_quality_score == 0.1
+    over.write_text("chunking: {strategy: fixed}")
+    with pytest.raises(config.ConfigError):
+        config.load_config(at, over)
     for bad in ("project_name: x", YAML % {"d": tmp_path, "u": "ftp://x"}, "- a", "a: ${MILLRACE_NOT_SET}"):
         at.write_text(bad)
         with pytest.raises(config.ConfigError):
@@ -40,6 +43,10 @@ def test_repository_files(spark, tmp_path):
     assert set(rows) == {"README.md", "docs/a.md", "src/m.py"}
     assert rows["README.md"]["text"] == "# Hi  there" and rows["src/m.py"]["text"] == "```py\nx = 1\n```"
     assert rows["docs/a.md"]["url"] == "https://example.org/repo/blob/main/docs/a.md"
+    assert 0 < files.dir_size_mb(spark, str(tmp_path)).first()["mb"] < 0.01
+    assert files.read_jsonl_or_empty(spark, str(tmp_path / "none.jsonl"), "a int").count() == 0
+    (tmp_path / "x.jsonl").write_text('{"a": 1}\n\n{"a": 2}\n')
+    assert files.read_jsonl(spark, str(tmp_path / "x.jsonl"), "a int").count() == 2
     assert [r["path"].rsplit("/", 1)[1] for r in files.list_files(spark, str(tmp_path), [".py", ".png"]).collect()] == ["c.png", "m.py"]
 
 

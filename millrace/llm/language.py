@@ -30,10 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .common import materialize
+
 UNDETERMINED = "und"
 SAMPLE_DOCS = 600
 TOP_WORDS = 8000
 LETTERS = 40_000
+BROADCAST_LANGS = 10_000
 MEMO_WORDS, MEMO_LETTERS = 400_000, 64
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -139,9 +142,10 @@ def learn(
 ) -> tuple[tuple[str, tuple[str, ...]], ...]:
     """The words to learn for each language, from a bounded sample of ``docs``."""
     labelled = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"), F.col(lang).alias("_lang")).where("_id is not null and _lang is not null")
-    sizes = labelled.groupBy("_lang").agg(F.count("*").alias("_n"))
+    sizes = materialize(labelled.groupBy("_lang").agg(F.count("*").alias("_n")), "language-sizes", narrow=True)
+    if sizes.count() <= BROADCAST_LANGS:  # else the texts are shuffled to their language's row
+        sizes = F.broadcast(sizes)
     share = F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(1 << 30)) < F.lit(float(sample_docs) * (1 << 30)) / F.col("_n")
-    # One row for each language: small wherever languages are few, and not forced to be.
     sample = labelled.join(sizes, "_lang").where(share)
     words = sample.select("_lang", F.explode(F.regexp_extract_all(F.lower("_text"), F.lit(r"(?U)[\p{L}]+"), F.lit(0))).alias("_word"))
     counted = words.where(F.length("_word") <= MEMO_LETTERS).groupBy("_lang", "_word").agg(F.count("*").alias("_n"))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import storage
-from ..plans.storage import drop_files_of, hadoop_path, materialize, new_path, shared_dir
+from ..plans.storage import drop_files_of, hadoop_path, materialize, new_path, shared_dir, spread
 
-__all__ = ["drop_files_of", "hadoop_path", "let", "materialize", "new_path", "running_sums", "shared_dir", "ship"]
+__all__ = ["drop_files_of", "hadoop_path", "in_few_parts", "let", "materialize", "new_path", "running_sums", "shared_dir", "ship", "spread"]
 
 #: Most rows and bytes that go to a Python worker at once: texts may be very long.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
@@ -23,6 +23,11 @@ def ship(spark: SparkSession) -> None:
             spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
+def in_few_parts(df: DataFrame) -> DataFrame:
+    """``df`` in a few parts for each core: for narrow results, which give small files."""
+    return df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, whatever the optimizer inlines."""
     return F.element_at(F.transform(F.array(value), body), 1)

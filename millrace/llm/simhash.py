@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import in_few_parts, materialize
 from .components import connected_components
 
 SEED = 42
@@ -172,7 +172,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     known = root.join(least, "_fp")
     ids = known.groupBy("_root").agg(F.min("_least").alias("_component"))
     by_fp = materialize(known.join(ids, "_root").select("_fp", "_component"), "components", narrow=True)
-    return marked.join(by_fp, "_fp").select(
+    return in_few_parts(marked.join(by_fp, "_fp")).select(
         F.col("_id").alias(id_col),
         F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),
         F.col("_component").alias("component_id"),
@@ -182,20 +182,24 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", radius: int = 2, words: int = 3) -> DataFrame:
     """``docs`` with one row of each component: that of the least id, then text hash.
 
-    Texts are shuffled once, to meet the kept keys; of equal rows one stays.
+    Texts are shuffled once, to meet the kept keys; of equal rows one stays, as of rows
+    of one id and text.
     """
-    body = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-    marked = materialize(with_fingerprint(docs, [F.col(id_col).alias("_id"), body.alias("_text")], text, words), "simhash")
-    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), F.col("_text")))
+    # One key that is never null, so that the join and the last step share an exchange.
+    ident = F.coalesce(F.col(id_col).cast("string"), F.lit("-"))
+    key = F.sha2(F.concat(ident, F.lit("|"), F.coalesce(F.col(text), F.lit(""))), 256)
+    marked = materialize(with_fingerprint(docs, [F.col(id_col).alias("_id"), key.alias("_key")], text, words), "simhash")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), F.col("_key")))
     kept = (
         marked.groupBy("_fp")
         .agg(first.alias("k"))
         .join(groups(marked, radius), "_fp")
         .groupBy("_root")
         .agg(F.min("k").alias("k"))
-        .select(F.col("k._id").alias("_kept_id"), F.col("k._text").alias("_kept_text"))
+        .select(F.col("k._key").alias("_key"))
     )
-    own = docs.columns
-    here = docs.withColumn("_text", body)
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_text") == F.col("_kept_text"))
-    return here.join(kept, same, "left_semi").dropDuplicates([id_col, "_text"]).select(*[F.col(f"`{c}`") for c in own])
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    here = docs.select(*own, key.alias("_millrace_key"))
+    kept = kept.select(F.col("_key").alias("_kept_key"))
+    few = here.join(kept, F.col("_millrace_key") == F.col("_kept_key"), "left_semi")
+    return few.dropDuplicates(["_millrace_key"]).select(*own)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import embedding_dedup, imatch, language, oracles, packing, quality, rollup, secrets, sentencepiece_viterbi, simhash, toxicity
-from .common import ship
+from .common import ship, spread
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,13 +15,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For operators that spend long on each text: a small file is dealt to all cores."""
+    return spread(_table(spark, sf_dir, "documents"))
+
+
 def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Owners are the sources; a source's repositories are its languages' parts."""
     return secrets.secret_digests(_table(spark, sf_dir, "documents"), owner="source", repository="lang")
 
 
 def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
 def op3_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,16 +34,16 @@ def op3_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_viterbi.round_trips(_table(spark, sf_dir, "documents"))
+    return sentencepiece_viterbi.round_trips(_documents(spark, sf_dir))
 
 
 def op5_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hosts are the sources; a host's paths are its languages' parts."""
-    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return quality.quality(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
 def op6_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.piece_digests(packing.pack_documents(_table(spark, sf_dir, "documents")))
+    return packing.piece_digests(packing.pack_documents(_documents(spark, sf_dir)))
 
 
 def op7_int8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,15 +51,15 @@ def op7_int8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_gph_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), radius=2, words=3)
+    return simhash.near_duplicates(_documents(spark, sf_dir), radius=2, words=3)
 
 
 def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.corpus_rollup(_table(spark, sf_dir, "documents"))
+    return rollup.corpus_rollup(_documents(spark, sf_dir))
 
 
 def op10_cross_parse_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.identify(_table(spark, sf_dir, "documents"))
+    return language.identify(_documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import in_few_parts, materialize
 from .components import connected_components
 
 TILE = 8192
@@ -183,7 +183,7 @@ def near_duplicate_vectors(
     settled = known.join(ids, "_root").select("_label", "_v", (F.col("_n") - 1 + F.coalesce("_links", F.lit(0))).alias("_links"), "_component")
     linked = good.join(settled, ["_label", "_v"]).select("_id", "_links", "_component")
     alone = rows.where("not _ok").select("_id", F.lit(0).cast("bigint").alias("_links"), F.col("_id").alias("_component"))
-    return linked.union(alone).select(
+    return in_few_parts(linked.union(alone)).select(
         F.col("_id").alias(id_col),
         F.col("_links").alias("n_links"),
         F.col("_component").alias("component_id"),

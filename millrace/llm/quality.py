@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import in_few_parts, materialize
 from .toxicity import labelled_sample
 
 SAMPLE_DOCS = 12_000
@@ -201,7 +201,7 @@ def quality(
     )
     paths, strength, share = site_posteriors(scored)
     site = (F.lit(strength) * F.col("_prior") + F.col("_good")) / (F.lit(strength) + F.col("_n"))
-    final = _with_sites(scored, paths).withColumn("p_good", _final(F.col("_p"), strength, share))
+    final = in_few_parts(_with_sites(scored, paths)).withColumn("p_good", _final(F.col("_p"), strength, share))
     return final.select(F.col("_id").alias(id_col), F.col("_p").alias("p_text"), site.alias("p_site"), "p_good", (F.col("p_good") >= threshold).alias("good"))
 
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, materialize, running_sums
+from .common import in_few_parts, let, materialize, running_sums
 
 #: Kinds in the order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex", "leak", "owned")
@@ -174,7 +174,7 @@ def find_secrets(
     found = scan(docs, [F.col(id_col).alias("_id")], text=text, owner=owner, repository=repository)
     spans = classified(found, copied_owners)
     empty = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,verdict:string>>")
-    return found.select("_row", "_id").join(spans, "_row", "left").select(
+    return in_few_parts(found.select("_row", "_id").join(spans, "_row", "left")).select(
         F.col("_id").alias(id_col), F.coalesce("spans", empty).alias("spans")
     )
 

@@ -19,7 +19,11 @@ it; all else decodes to the text itself if the vocabulary has byte pieces.
 from __future__ import annotations
 
 import functools
+import hashlib
+import math
 import re
+import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +37,7 @@ from sentencepiece import SentencePieceProcessor
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Entries of the table of words, and the longest word that it holds.
-MEMO_WORDS, MEMO_LETTERS = 400_000, 64
+MEMO_WORDS, MEMO_LETTERS = 600_000, 64
 _SEGMENT = re.compile(" *[^ ]+| +")
 
 
@@ -44,6 +48,8 @@ class Vocabulary:
         self.pieces, self.byte_ids, self.unknown = pieces, byte_ids, unknown
         self.longest = max(map(len, pieces), default=1)
         self.prefixes = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
+        #: Every beginning of a piece, to the piece's id and score if it is one itself.
+        self.trie = {p: pieces.get(p) for p in self.prefixes}
         self.floor = min((s for _, s in pieces.values()), default=0.0) - UNKNOWN_PENALTY
         self.cuts_at_words = not any(MARK in p.lstrip(MARK) for p in pieces)
         id_byte = {i: b for b, i in byte_ids.items()}
@@ -157,12 +163,21 @@ class StreamingViterbi:
         return ids[::-1]
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder(dict):
-    """Ids of texts; as a dict, the bytes of the ids of remembered words."""
+    """Ids of texts; as a dict, the bytes of the ids of remembered words.
+
+    When the table is full it becomes the older one, and words that are met again come
+    back from there: common words stay, in two tables of half the bound each.
+    """
 
     def __init__(self, vocab: Vocabulary, memo_words: int = MEMO_WORDS):
         super().__init__()
-        self.vocab, self.memo_words = vocab, memo_words
+        self.vocab, self.half, self.older = vocab, memo_words // 2, {}
 
     def search(self, marked: str, step: int = 4096) -> list[int]:
         """Ids of a marked text by the streaming search, fed in steps."""
@@ -174,29 +189,27 @@ class Encoder(dict):
     def search_word(self, marked: str) -> list[int]:
         """As ``search``, for a word that fits the window: nothing to commit before its end."""
         v, n = self.vocab, len(marked)
-        get, prefixes, floor = v.pieces.get, v.prefixes, v.floor
-        best: list[float | None] = [None] * (n + 1)
+        get, floor, none = v.trie.get, v.floor, -math.inf
+        best = [none] * (n + 1)
         from_, piece = [0] * (n + 1), [-1] * (n + 1)
         best[0] = 0.0
         for s in range(n):
             base = best[s]
-            if base is None:
+            if base == none:
                 continue
             e = s + 1
-            sub = marked[s:e]
-            if get(sub) is None and (best[e] is None or base + floor > best[e]):
+            hit = get(marked[s], 0)
+            if not hit and base + floor > best[e]:
                 best[e], from_[e], piece[e] = base + floor, s, -1
-            while sub in prefixes:
-                hit = get(sub)
+            while hit != 0:
                 if hit is not None:
                     score = base + hit[1]
-                    old = best[e]
-                    if old is None or score > old:
+                    if score > best[e]:
                         best[e], from_[e], piece[e] = score, s, hit[0]
                 e += 1
                 if e > n:
                     break
-                sub = marked[s:e]
+                hit = get(marked[s:e], 0)
         ids: list[int] = []
         e = n
         while e > 0:
@@ -211,11 +224,14 @@ class Encoder(dict):
         return ids[::-1]
 
     def __missing__(self, segment: str) -> bytes:
-        marked = segment.replace(" ", MARK)
-        found = self.search_word(marked) if len(marked) <= 2 * self.vocab.longest else self.search(marked)
-        ids = np.array(found, dtype="<u4").tobytes()
+        ids = self.older.get(segment)
+        if ids is None:
+            marked = segment.replace(" ", MARK)
+            found = self.search_word(marked) if len(marked) <= 2 * self.vocab.longest else self.search(marked)
+            ids = _packed(found)
         if len(segment) <= MEMO_LETTERS:
-            if len(self) >= self.memo_words:
+            if len(self) >= self.half:
+                self.older = dict(self)
                 self.clear()
             self[segment] = ids
         return ids
@@ -226,7 +242,7 @@ class Encoder(dict):
             return b""
         text = " " + text.replace(MARK, " ")
         if not self.vocab.cuts_at_words:
-            return np.array(self.search(text.replace(" ", MARK)), dtype="<u4").tobytes()
+            return _packed(self.search(text.replace(" ", MARK)))
         return b"".join(map(self.__getitem__, _SEGMENT.findall(text)))
 
     def decode(self, ids: bytes) -> str:
@@ -273,11 +289,28 @@ def decode_documents(encoded: DataFrame, *, ids: str = "ids", target: str = "tex
 
 
 def round_trips(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:
-    """``id_col``, ``n_ids``, ``ids_crc32``, ``decoded_sha256`` and ``exact``, per document."""
-    body = F.translate(F.coalesce(F.col(text), F.lit("")), MARK, " ")
-    hashed = docs.select(F.col(id_col), F.sha2(body, 256).alias("_sha"), F.col(text).alias("_text"))
-    encoded = encode_documents(hashed, keep=[id_col, "_sha"], text="_text", model=model)
-    measured = encoded.select(id_col, "_sha", (F.octet_length("ids") / 4).cast("bigint").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), "ids")
-    decoded = decode_documents(measured, target="_decoded", model=model)
-    sha = F.sha2("_decoded", 256)
-    return decoded.select(id_col, "n_ids", "ids_crc32", sha.alias("decoded_sha256"), (sha == F.col("_sha")).alias("exact"))
+    """``id_col``, ``n_ids``, ``ids_crc32``, ``decoded_sha256`` and ``exact``, per document.
+
+    Texts are encoded and decoded in one pass; ids and texts, several times the size of
+    what is told of them, stay in the worker.
+    """
+    kept = docs.select(F.col(id_col), F.coalesce(F.col(text), F.lit("")).alias("_body"))
+    told = {"n_ids": T.LongType(), "ids_crc32": T.LongType(), "decoded_sha256": T.StringType(), "exact": T.BooleanType()}
+    schema = T.StructType([kept.schema[id_col], *[T.StructField(n, t) for n, t in told.items()]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = load(model)
+        for batch in batches:
+            n_ids, crc, sha, exact = [], [], [], []
+            for body in batch.column("_body"):
+                body = body.as_py()
+                ids = encoder.encode(body)
+                back = encoder.decode(ids)
+                n_ids.append(len(ids) // 4)
+                crc.append(zlib.crc32(ids))
+                sha.append(hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest())
+                exact.append(back == body.replace(MARK, " "))
+            arrays = [batch.column(id_col), pa.array(n_ids, pa.int64()), pa.array(crc, pa.int64()), pa.array(sha, pa.string()), pa.array(exact, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return kept.mapInArrow(run, schema)

@@ -81,6 +81,10 @@ def test_encode_decode_documents(documents, messy, no_docs):
         out = sp.round_trips(df).collect()
         assert len(out) == df.count() and all(r["exact"] for r in out)
     assert sp.round_trips(no_docs).count() == 0
+    encoded = sp.encode_documents(messy, keep=["doc_id", "score"])
+    assert encoded.columns == ["doc_id", "score", "ids"]
+    texts = sorted(r["text"] for r in sp.decode_documents(encoded).collect())
+    assert texts == sorted((t or "").replace(sp.MARK, " ") for _, t, *_ in MESSY)
     e = sp.load()
     texts = {r["doc_id"]: r["text"] for r in documents.collect()}
     for r in sp.round_trips(documents).collect():

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import packing, quality, secrets, simhash, toxicity
-from millrace.llm.common import materialize, ship
+from millrace.llm.common import materialize, ship, spread
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -525,7 +525,7 @@ def gen10_pipeline_examples(spark, d):
     return generated(chunked(kept, settings), kept, settings).select("pos", "id", "instruction", "output", "difficulty", "metadata.template")
 
 
-S_EXAMPLES = """WITH e AS (SELECT doc_id AS pos, 'x' || (doc_id // 2) AS id, CASE WHEN doc_id % 11 = 0 THEN ' ' ELSE 'ask ' || doc_id END AS instruction, '' AS input, CASE WHEN doc_id % 13 = 0 THEN '' ELSE left(text, 200) END AS output,
+S_EXAMPLES = """WITH e AS (SELECT doc_id AS pos, 'x' || (doc_id // 2) AS id, CASE WHEN doc_id % 11 = 0 THEN ' ' ELSE 'ask ' || doc_id END AS instruction, '' AS input, CASE WHEN doc_id % 13 = 0 THEN '' ELSE text END AS output,
   CASE WHEN doc_id % 7 = 0 THEN 'cooking' ELSE 'data_science' END AS category, CASE WHEN doc_id % 17 = 0 THEN 'hard' ELSE 'beginner' END AS difficulty, source FROM documents),
  i AS (SELECT *, (trim(instruction) = '')::INTEGER AS a, (output = '')::INTEGER AS b, (category = 'cooking')::INTEGER AS c, (difficulty = 'hard')::INTEGER AS g FROM e),
  v AS (SELECT *, coalesce(pos > min(CASE WHEN a + b + c + g = 0 THEN pos END) OVER (PARTITION BY id), false)::INTEGER AS u FROM i)"""
@@ -535,7 +535,7 @@ def examples(spark, d) -> DataFrame:
     n = F.col("doc_id")
     return documents(spark, d).select(
         n.alias("pos"), F.concat(F.lit("x"), F.floor(n / 2).cast("string")).alias("id"), F.when(n % 11 == 0, " ").otherwise(F.concat(F.lit("ask "), n.cast("string"))).alias("instruction"), F.lit("").alias("input"),
-        F.when(n % 13 == 0, "").otherwise(F.left("text", F.lit(200))).alias("output"), F.when(n % 7 == 0, "cooking").otherwise("data_science").alias("category"), F.when(n % 17 == 0, "hard").otherwise("beginner").alias("difficulty"), "source",
+        F.when(n % 13 == 0, "").otherwise(F.col("text")).alias("output"), F.when(n % 7 == 0, "cooking").otherwise("data_science").alias("category"), F.when(n % 17 == 0, "hard").otherwise("beginner").alias("difficulty"), "source",
     )
 
 
@@ -728,7 +728,7 @@ def src13_text_field(spark, d):
 def _papers(spark, d) -> DataFrame:
     n = F.col("doc_id")
     ident = F.when(n % 3 == 0, F.concat(F.lit("https://arxiv.org/abs/2305."), F.lpad((n % 100000).cast("string"), 5, "0"), F.lit("v2"))).when(n % 3 == 1, F.concat(F.lit("2005."), F.lpad((n % 10000).cast("string"), 4, "0"))).otherwise("no id")
-    body = F.concat(F.lit("front\nAbstract\n"), F.left("text", F.lit(300)), F.lit("\n1. Introduction\n"), F.substring("text", 301, 12000), F.lit("\nResults\n \nRESULTS\nwon\nAbstract\nagain"))
+    body = F.concat(F.lit("front\nAbstract\n"), F.left("text", F.lit(300)), F.lit("\n1. Introduction\n"), F.substring(F.col("text"), F.lit(301), F.length("text")), F.lit("\nResults\n \nRESULTS\nwon\nAbstract\nagain"))
     return documents(spark, d).select("doc_id", ident.alias("identifier"), F.concat(F.lit("Paper "), n.cast("string")).alias("title"), F.left("text", F.lit(100)).alias("abstract"), F.array(F.lit("A"), F.lit("B")).alias("authors"), body.alias("body"))
 
 

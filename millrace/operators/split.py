@@ -55,12 +55,15 @@ def train_validation_exact(df: DataFrame, *, pos: str = "pos", train_split: floa
 
 
 def cap_per_group(df: DataFrame, group: str, caps: dict[str, int], order: list) -> DataFrame:
-    """The first rows of the groups that have a cap; all rows of the others."""
-    limit = F.lit(None).cast("int")
+    """The first rows of the groups that have a cap; all rows of the others.
+
+    Each cap is a top-k, which every task applies to its own rows first, so that a hot
+    group is never gathered.
+    """
+    out = df.where(~F.coalesce(F.col(group).isin(*caps), F.lit(False)))
     for name, cap in caps.items():
-        limit = F.when(F.col(group) == name, F.lit(cap)).otherwise(limit)
-    capped = df.where(F.col(group).isin(*caps)).withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    return capped.where(F.col("_n") <= limit).drop("_n").unionByName(df.where(~F.coalesce(F.col(group).isin(*caps), F.lit(False))))
+        out = out.unionByName(df.where(F.col(group) == name).orderBy(*order).limit(cap))
+    return out
 
 
 def head(df: DataFrame, n: int, order: list) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing, quality, secrets, simhash, toxicity
+from millrace.llm import near_copies, packing, quality, secrets, toxicity
 from millrace.llm.common import materialize, ship, spread
 
 
@@ -29,9 +29,9 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document stays of each group whose five-word shingles are alike to 0.8 or more."""
     ship(spark)
-    return simhash.keep_one(docs)
+    return near_copies.keep_one(docs, words=5, similarity=0.8)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -179,27 +179,36 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     )
 
 
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", radius: int = 2, words: int = 3) -> DataFrame:
-    """``docs`` with one row of each component: that of the least id, then text hash.
+def row_key(id_col: str, text: str) -> Column:
+    """A key of id and text that is never null, so that a join and a last step share an exchange."""
+    ident = F.coalesce(F.col(id_col).cast("string"), F.lit("-"))
+    return F.sha2(F.concat(ident, F.lit("|"), F.coalesce(F.col(text), F.lit(""))), 256)
+
+
+def kept_rows(docs: DataFrame, marked: DataFrame, roots: DataFrame, *, id_col: str, text: str) -> DataFrame:
+    """``docs`` with one row of each ``_root``: that of the least id, then text hash.
 
+    ``marked`` has ``_id``, ``_key`` (the row's key) and ``_fp``, ``roots`` ``_fp`` and ``_root``.
     Texts are shuffled once, to meet the kept keys; of equal rows one stays, as of rows
     of one id and text.
     """
-    # One key that is never null, so that the join and the last step share an exchange.
-    ident = F.coalesce(F.col(id_col).cast("string"), F.lit("-"))
-    key = F.sha2(F.concat(ident, F.lit("|"), F.coalesce(F.col(text), F.lit(""))), 256)
-    marked = materialize(with_fingerprint(docs, [F.col(id_col).alias("_id"), key.alias("_key")], text, words), "simhash")
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), F.col("_key")))
     kept = (
         marked.groupBy("_fp")
         .agg(first.alias("k"))
-        .join(groups(marked, radius), "_fp")
+        .join(roots, "_fp")
         .groupBy("_root")
         .agg(F.min("k").alias("k"))
         .select(F.col("k._key").alias("_key"))
     )
     own = [F.col(f"`{c}`") for c in docs.columns]
-    here = docs.select(*own, key.alias("_millrace_key"))
+    here = docs.select(*own, row_key(id_col, text).alias("_millrace_key"))
     kept = kept.select(F.col("_key").alias("_kept_key"))
     few = here.join(kept, F.col("_millrace_key") == F.col("_kept_key"), "left_semi")
     return few.dropDuplicates(["_millrace_key"]).select(*own)
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", radius: int = 2, words: int = 3) -> DataFrame:
+    """``docs`` with one row of each component: that of the least id, then text hash."""
+    marked = materialize(with_fingerprint(docs, [F.col(id_col).alias("_id"), row_key(id_col, text).alias("_key")], text, words), "simhash")
+    return kept_rows(docs, marked, groups(marked, radius), id_col=id_col, text=text)

@@ -715,7 +715,7 @@ def src11_blog_posts(spark, d):
     "SELECT 'huggingface_' || left(sha256('org/set_' || doc_id), 12) AS document_id, text, 'org/set' AS repository, 'train' AS version FROM documents WHERE doc_id < 2000 AND trim(text) <> ''"
 )
 def src12_dataset_rows(spark, d):
-    rows = files.dataset_rows(documents(spark, d).select("doc_id", "text"), repo_id="org/set", index="doc_id")
+    rows = files.dataset_rows(documents(spark, d).select("doc_id", "text"), repo_id="org/set", index="doc_id", max_examples=None)
     return rows.select("document_id", "text", "repository", "version")
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import routing
-from millrace.plans import config, pipeline, sinks
+from millrace.plans import config, pipeline, queries, sinks
 from millrace.sources import custom, files, html
 from millrace.streaming import stateless
 
@@ -76,6 +76,12 @@ def test_dataset_rows(spark):
     assert [r["text"] for r in rows] == ["q\n\na"]
 
 
+def test_dataset_rows_query_takes_all_rows(spark, tmp_path):
+    docs = spark.range(2500).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "'a' AS source", "9L AS n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert queries.QUERIES["src12_dataset_rows"](spark, str(tmp_path)).count() == 2500
+
+
 def test_item_source_skips_failures(spark, tmp_path):
     (tmp_path / "a").write_text("hello")
     spark.dataSource.register(custom.ItemSource)

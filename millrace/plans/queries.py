@@ -742,7 +742,7 @@ def src15_arxiv_id(spark, d):
 
 @query()
 def src14_18_papers(spark, d):
-    return files.paper_documents(_papers(spark, d)).select("document_id", "text", "author", "version", F.col("extra")["sections_found"].alias("sections_found"))
+    return files.paper_documents(_papers(spark, d), section_chars=None).select("document_id", "text", "author", "version", F.col("extra")["sections_found"].alias("sections_found"))
 
 
 @query("SELECT page_id, trim(left(regexp_replace(url, '[^\\p{L}\\p{N}\\-_.]', '_', 'g'), 120), '_') AS name FROM pages")

@@ -133,14 +133,17 @@ def arxiv_id(identifier: Column | str) -> Column:
     return F.nullif(F.regexp_extract(tx.col(identifier), r"([0-9]{4}\.[0-9]{4,5})(v[0-9]+)?", 0), F.lit(""))
 
 
-def segment_sections(body: Column | str) -> Column:
+def segment_sections(body: Column | str, section_chars: int | None = SECTION_CHARS) -> Column:
     """array<struct<heading, content>>: the last non-blank content of each heading, at the
-    place of its first, cut to 8,000 letters."""
+    place of its first, cut to ``section_chars`` letters (None: whole)."""
     heads = F.transform(F.regexp_extract_all(tx.col(body), F.lit(SECTION), F.lit(1)), lambda h: F.lower(tx.strip(h)))
     pieces = F.split(tx.col(body), SECTION, -1)
 
+    def cut(content: Column) -> Column:
+        return content if section_chars is None else F.left(content, F.lit(section_chars))
+
     def build(s: Column) -> Column:
-        pairs = F.transform(s["heads"], lambda h, i: F.struct(h.alias("heading"), F.left(tx.strip(F.element_at(s["pieces"], i + 2)), F.lit(SECTION_CHARS)).alias("content")))
+        pairs = F.transform(s["heads"], lambda h, i: F.struct(h.alias("heading"), cut(tx.strip(F.element_at(s["pieces"], i + 2))).alias("content")))
         full = F.filter(pairs, lambda p: p["content"] != "")
         names = F.array_distinct(F.transform(full, lambda p: p["heading"]))
         return F.transform(names, lambda n: F.element_at(F.filter(full, lambda p: p["heading"] == n), -1))
@@ -148,11 +151,11 @@ def segment_sections(body: Column | str) -> Column:
     return F.element_at(F.transform(F.array(F.struct(heads.alias("heads"), pieces.alias("pieces"))), build), 1)
 
 
-def paper_documents(papers: DataFrame, *, category: str = "uncategorized") -> DataFrame:
+def paper_documents(papers: DataFrame, *, category: str = "uncategorized", section_chars: int | None = SECTION_CHARS) -> DataFrame:
     """Documents of rows (identifier, title, abstract, authors, body); rows without an id
     or title are dropped."""
     rows = papers.withColumn("_id", arxiv_id("identifier")).where("_id is not null and title is not null")
-    rows = rows.withColumn("_sections", F.coalesce(segment_sections("body"), F.array().cast("array<struct<heading:string,content:string>>")))
+    rows = rows.withColumn("_sections", F.coalesce(segment_sections("body", section_chars), F.array().cast("array<struct<heading:string,content:string>>")))
     parts = F.concat(F.lit("# "), F.col("title"), F.lit("\n\n## Abstract\n"), F.coalesce("abstract", F.lit("")))
     more = F.array_join(F.transform("_sections", lambda s: F.concat(F.lit("\n\n## "), F.initcap(s["heading"]), F.lit("\n"), s["content"])), "")
     out = rows.select(

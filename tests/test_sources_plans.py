@@ -65,6 +65,12 @@ def test_papers(spark):
     assert row["text"] == "# T\n\n## Abstract\nabs\n\n## Abstract\nsecond\n\n## Introduction\nintro" and row["author"] == "A, B"
 
 
+def test_papers_query_keeps_long_sections(spark, tmp_path):
+    docs = spark.range(1).selectExpr("id AS doc_id", "concat(repeat('word ', 4000), 'end') AS text", "'en' AS lang", "'a' AS source", "9L AS n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert "word end" in queries.QUERIES["src14_18_papers"](spark, str(tmp_path)).first()["text"]
+
+
 def test_atom(spark):
     xml = '<feed xmlns="http://www.w3.org/2005/Atom"><entry><title> T </title><summary>S</summary><author><name>N</name></author><link title="pdf" href="h"/></entry></feed>'
     assert spark.createDataFrame([(xml,)], "x string").select(*files.atom_entries("x")).first() == ("T", "S", ["N"], "h")

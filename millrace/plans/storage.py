@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import contextvars
+import re
 import tempfile
 import uuid
 import zipfile
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIR: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_MADE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("made", default=None)
 
 
 def ship(spark: SparkSession) -> None:
@@ -30,17 +33,20 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder, from ``spark.checkpoint.dir``.
+    """The shared folder: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Where that setting is absent (tests, local mode) a fresh temporary folder is used.
+    Where neither is set, local mode (as in tests) gets a fresh temporary folder; a
+    cluster's executors could not see that, so there it is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_DIR:
-        _OWN_DIR[app] = "file://" + tempfile.mkdtemp(prefix="millrace-")
-    return _OWN_DIR[app]
+    if not re.match(r"local(\[|$)", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _OWN_DIR:
+        _OWN_DIR[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="millrace-")
+    return _OWN_DIR[context.applicationId]
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -60,9 +66,24 @@ def new_path(spark: SparkSession, tag: str) -> str:
     """A new path in the shared folder, removed when the driver ends."""
     path = f"{shared_dir(spark)}/millrace-{tag}-{uuid.uuid4().hex}"
     atexit.register(remove, spark, path)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     return path
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Paths that ``new_path`` gives within are removed at the end, but for those taken out of the list."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            remove(spark, path)
+
+
 def materialize(df: DataFrame, tag: str, narrow: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 

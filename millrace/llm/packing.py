@@ -1,14 +1,18 @@
 """Sum-of-squares online packing of token sequences.
 
 Documents arrive one by one. A document of at least ``capacity`` ids first fills whole
-sequences; what is left of it goes to the open sequence whose choice leaves the least
-sum of squared counts N(h) of open sequences at fill level h, tracked in a level array.
-Each task packs its own input, so there is no shuffle and no shared state; a task that
-is lost and run again on the same input makes the same sequences.
-
-At the end of a task, or when ``most_open`` sequences stand open (which bounds memory),
-the open ones are emptied into each other: pieces are cut so as to fill whole sequences,
-and the last remainder goes to sequences of power-of-two lengths, which need no padding.
+sequences; what is left of it goes to the open window whose choice leaves the least sum of
+squared counts N(h) of windows at fill level h, tracked in a level array; a new window is
+one of the choices. At most ``most_open`` windows stand open. When so many do, no new one
+may be opened, and a document that fits none of them is cut: the same rule picks the window
+that its first part fills, where what is over counts as a window of its own, and what is
+over is placed by the rule again. So every piece goes to a window by the level array, and
+at a task's end no more than ``most_open`` windows are left, whatever it has packed.
+
+Those last windows are emptied into each other: pieces are cut so as to fill whole
+sequences, and the last remainder goes to sequences of power-of-two lengths, which need no
+padding. Each task packs its own input, so there is no shuffle and no shared state; a task
+that is lost and run again on the same input makes the same sequences.
 
 Defined results: a null text counts as empty and gives the end id alone; null and
 repeated ids are passed through, each row with pieces of its own; an empty table gives
@@ -29,7 +33,8 @@ from pyspark.sql import types as T
 from . import bytebpe
 
 CAPACITY = 1024
-MOST_OPEN = 4096
+#: Windows that a task holds open at most: its memory, and the work at its end.
+MOST_OPEN = 32
 _BIG = 1 << 40
 _OUT_ROWS = 8192
 
@@ -37,17 +42,18 @@ Piece = tuple[object, int, np.ndarray, int]  # id, start, ids, ids of the docume
 
 
 class SumOfSquares:
-    """Open sequences by fill level; closed ones are handed to ``emit``."""
+    """Open windows by fill level; closed ones are handed to ``emit``."""
 
     def __init__(self, capacity: int, emit, most_open: int = MOST_OPEN):
-        self.capacity, self.emit, self.most_open = capacity, emit, most_open
+        self.capacity, self.emit, self.most_open = capacity, emit, max(1, most_open)
         self.open: list[list[list[Piece]]] = [[] for _ in range(capacity)]
         self.count = np.zeros(capacity + 1, dtype=np.int64)
-        # What the sum of squares changes by when a sequence leaves or reaches a level.
+        # What the sum of squares changes by when a window leaves or reaches a level.
         self.leave = np.full(capacity + 1, _BIG, dtype=np.int64)
         self.arrive = np.ones(capacity + 1, dtype=np.int64)
         self.leave[0] = self.arrive[capacity] = 0
         self.n_open = 0
+        self.placed = self.drained = 0  # ids that the rule placed, ids left at the end
 
     def _set(self, level: int, by: int) -> None:
         n = self.count[level] = self.count[level] + by
@@ -55,29 +61,37 @@ class SumOfSquares:
         self.arrive[level] = 2 * n + 1
 
     def level_for(self, size: int) -> int:
-        """The fill level (0: a new sequence) that takes ``size``; the fullest of ties."""
-        last = self.capacity - size
+        """The fill level (0: a new window) that takes ``size``, whole if any can; the fullest of ties."""
+        last, full = self.capacity - size, self.n_open >= self.most_open
         cost = self.leave[: last + 1] + self.arrive[size:]
-        return int(last - np.argmin(cost[::-1]))
+        if full:
+            cost[0] = _BIG
+        best = int(last - np.argmin(cost[::-1]))
+        if cost[best] < _BIG // 2:
+            return best
+        # Full, and all open windows lack room: what is over counts as a new window.
+        over = self.leave[last + 1 : self.capacity] + self.arrive[1:size]
+        return int(self.capacity - 1 - np.argmin(over[::-1]))
 
     def place(self, piece: Piece) -> None:
-        size = len(piece[2])
-        level = self.level_for(size)
-        if level:
-            pieces = self.open[level].pop()
-            self._set(level, -1)
-            self.n_open -= 1
-        else:
+        doc_id, start, ids, n = piece
+        while len(ids):
+            level = self.level_for(len(ids))
             pieces = []
-        pieces.append(piece)
-        if level + size == self.capacity:
-            self.emit(pieces)
-            return
-        self.open[level + size].append(pieces)
-        self._set(level + size, 1)
-        self.n_open += 1
-        if self.n_open >= self.most_open:
-            self.drain(final=False)
+            if level:
+                pieces = self.open[level].pop()
+                self._set(level, -1)
+                self.n_open -= 1
+            part = ids[: self.capacity - level]
+            pieces.append((doc_id, start, part, n))
+            start, ids, level = start + len(part), ids[len(part) :], level + len(part)
+            self.placed += len(part)
+            if level == self.capacity:
+                self.emit(pieces)
+            else:
+                self.open[level].append(pieces)
+                self._set(level, 1)
+                self.n_open += 1
 
     def add(self, doc_id, ids: np.ndarray) -> None:
         """Place a document's ids, cutting whole sequences off first."""
@@ -88,31 +102,23 @@ class SumOfSquares:
         if whole < n:
             self.place((doc_id, whole, ids[whole:], n))
 
-    def drain(self, final: bool = True) -> None:
-        """Fill whole sequences from the open ones, fullest first, cutting pieces."""
+    def close(self) -> None:
+        """Fill sequences from the windows that are left, fullest first, cutting pieces."""
         todo = [p for level in reversed(self.open) for pieces in level for p in pieces]
-        self.open = [[] for _ in range(self.capacity)]
-        for level in np.nonzero(self.count)[0]:
-            self._set(int(level), -int(self.count[level]))
-        self.n_open = 0
-        left = sum(len(p[2]) for p in todo)
-        room, pieces = min(self.capacity, left), []
-        if room < self.capacity:
-            room = 1 << (left.bit_length() - 1) if left else 0
+        left = self.drained = sum(len(p[2]) for p in todo)
+
+        def next_room() -> int:
+            return min(self.capacity, 1 << (left.bit_length() - 1)) if left else 0
+
+        room, pieces = next_room(), []
         for doc_id, start, ids, n in todo:
             while len(ids):
-                if not final and left < self.capacity and not pieces:
-                    self.place((doc_id, start, ids, n))
-                    break
                 part = ids[:room]
                 pieces.append((doc_id, start, part, n))
-                start, ids = start + len(part), ids[len(part) :]
-                room -= len(part)
+                start, ids, room, left = start + len(part), ids[len(part) :], room - len(part), left - len(part)
                 if room == 0:
                     self.emit(pieces)
-                    left -= sum(len(p[2]) for p in pieces)
-                    pieces = []
-                    room = self.capacity if left >= self.capacity or not final else 1 << (left.bit_length() - 1) if left else 0
+                    room, pieces = next_room(), []
 
 
 def pack_documents(
@@ -171,7 +177,7 @@ def pack_documents(
                 while len(rows) >= _OUT_ROWS:
                     yield batch_of(rows[:_OUT_ROWS])
                     del rows[:_OUT_ROWS]
-        packer.drain()
+        packer.close()
         for at in range(0, len(rows), _OUT_ROWS):
             yield batch_of(rows[at : at + _OUT_ROWS])
 

@@ -1,14 +1,20 @@
 """SentencePiece encoding by a streaming Viterbi search, and decoding.
 
-A text becomes the piece sequence of highest total score, found over a window that is
-bounded by the longest piece: best scores and back-pointers are kept from the last
-committed boundary on, and ids are committed as soon as all surviving back-pointer paths
-meet in one boundary. Whole texts are read, of any length, with memory for what is not
-yet committed.
-
-In vocabularies in which a white-space mark never follows a letter inside a piece, every
-word start is such a boundary, so words are searched one by one and remembered, in a
-table of bounded size. Letters without a piece become byte pieces (or the unknown id).
+A text becomes the piece sequence of highest total score. The search reads the text once
+and extends one boundary after the other. It holds best scores for the boundaries that a
+piece may still reach, at most as many as the longest piece has letters, and back-pointers
+from the last committed boundary on. Back-pointers are a tree; a boundary that no path
+uses any more is taken out at once, and as soon as all surviving paths run through one
+boundary, the ids before it are committed and let go. Whole texts are read, of any
+length, with memory for what is not yet committed.
+
+What the search commits from one boundary to another depends on nothing before, and if no
+piece walk looked further than the letter after, on nothing behind either. So the search
+remembers its own results: a stretch up to the next word's mark whose both ends it
+committed is looked up, in a table of bounded size, when it comes again. There is no
+other way to an id than this search.
+
+Letters without a piece become byte pieces (or the unknown id).
 
 Defined results: a null or empty text has no ids and decodes to the empty text; repeated
 rows each give a row; null ids are passed through; an empty table gives an empty result;
@@ -20,7 +26,6 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import math
 import re
 import struct
 import zlib
@@ -36,9 +41,12 @@ from sentencepiece import SentencePieceProcessor
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Entries of the table of words, and the longest word that it holds.
+#: Entries of the table of results, and the longest stretch that it holds.
 MEMO_WORDS, MEMO_LETTERS = 600_000, 64
-_SEGMENT = re.compile(" *[^ ]+| +")
+#: Stretches of a marked text: white space and the word after it.
+_STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_NONE = float("-inf")
+_NO_PIECE = (None, {})
 
 
 class Vocabulary:
@@ -47,11 +55,14 @@ class Vocabulary:
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: dict[int, int], unknown: int, names: list[str]):
         self.pieces, self.byte_ids, self.unknown = pieces, byte_ids, unknown
         self.longest = max(map(len, pieces), default=1)
-        self.prefixes = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
-        #: Every beginning of a piece, to the piece's id and score if it is one itself.
-        self.trie = {p: pieces.get(p) for p in self.prefixes}
+        #: By letter: (id and score of the piece that ends here or None, the like for the next letter).
+        self.trie: dict = {}
+        for p, hit in sorted(pieces.items()):
+            below = self.trie
+            for letter in p[:-1]:
+                below = below.setdefault(letter, (None, {}))[1]
+            below[p[-1]] = (hit, {})
         self.floor = min((s for _, s in pieces.values()), default=0.0) - UNKNOWN_PENALTY
-        self.cuts_at_words = not any(MARK in p.lstrip(MARK) for p in pieces)
         id_byte = {i: b for b, i in byte_ids.items()}
         self.bytes_of = [bytes([id_byte[i]]) if i in id_byte else n.replace(MARK, " ").encode() for i, n in enumerate(names)]
 
@@ -66,100 +77,126 @@ class Vocabulary:
 
 
 class StreamingViterbi:
-    """Feed letters, get committed ids; ``close`` ends the text."""
+    """Feed letters, get committed ids; ``close`` ends the text.
+
+    ``text`` holds letters from a little before the committed boundary ``root`` on, and
+    boundaries are numbered within it. Scores stand at no more than ``longest`` + 1
+    boundaries at once: from ``at``, the next to extend, to ``reach``, the furthest end.
+    """
 
-    def __init__(self, vocab: Vocabulary):
+    def __init__(self, vocab: Vocabulary, letters: str = ""):
         self.vocab = vocab
-        self.text = ""  # from the last committed boundary on
-        self.at = 0  # the next start to extend
-        self.reach = 0  # the furthest end of any piece so far
-        self.best: list[float | None] = [0.0]
-        self.back: list[tuple[int, int]] = [(-1, -1)]  # start and id of the piece that ends here
-        self.widest = 0  # most letters held at once
+        self.text = letters
+        self.root = self.at = self.reach = 0
+        self.seen = 0  # one past the last letter that a piece walk looked at, or would have
+        grown = len(letters)
+        self.best = [0.0] + [_NONE] * grown
+        self.back = [-1] * (grown + 1)  # start of the piece that ends at a boundary; -1: none that survives
+        self.piece = [-1] * (grown + 1)  # and its id, -1 for a letter without a piece
+        self.uses = [0] * (grown + 1)  # boundaries whose surviving path comes directly from this one
+        self.widest = self.scores = 0  # most letters after a committed boundary, most scores at once
 
     def feed(self, letters: str) -> list[int]:
+        self.add(letters)
+        ids = self.advance(len(self.text) - self.vocab.longest + 1)
+        if self.root > 4096:  # let go of what is committed
+            gone = self.root
+            self.text = self.text[gone:]
+            for held in (self.best, self.piece, self.uses):
+                del held[:gone]
+            self.back = [b - gone if b >= gone else -1 for b in self.back[gone:]]
+            self.root, self.at, self.reach, self.seen = 0, self.at - gone, self.reach - gone, self.seen - gone
+        return ids
+
+    def add(self, letters: str) -> None:
+        """More letters, not yet searched."""
         self.text += letters
-        return self._advance(len(self.text) - self.vocab.longest)
+        grown = len(letters)
+        self.best += [_NONE] * grown
+        self.back += [-1] * grown
+        self.piece += [-1] * grown
+        self.uses += [0] * grown
 
     def close(self) -> list[int]:
-        ids = self._advance(len(self.text) - 1)
-        ids += self._commit(len(self.text))
-        return ids
-
-    def _advance(self, last: int) -> list[int]:
-        """Extend every start up to ``last``, committing where paths meet."""
+        """The ids of the rest; the text ends here, where all paths meet."""
+        return self.advance(len(self.text))
+
+    def advance(self, stop: int, commit: int | None = None) -> list[int]:
+        """Extend the boundaries before ``stop``, or until ``commit`` or one after it is committed; the ids committed."""
+        text, trie, floor, n = self.text, self.vocab.trie, self.vocab.floor, len(self.text)
+        best, back, piece, uses = self.best, self.back, self.piece, self.uses
+        s, root, reach, seen = self.at, self.root, self.reach, self.seen
         out: list[int] = []
-        v, check = self.vocab, 2 * self.vocab.longest
-        get, prefixes, longest = v.pieces.get, v.prefixes, v.longest
-        while self.at <= last:
-            s, text, best, back = self.at, self.text, self.best, self.back
-            end = min(len(text), s + longest)
-            while len(best) <= end:
-                best.append(None)
-                back.append((-1, -1))
-            base = best[s]
-            if base is not None:
-                single = False
-                for e in range(s + 1, end + 1):
-                    sub = text[s:e]
-                    if sub not in prefixes:
-                        break
-                    hit = get(sub)
-                    if hit is not None:
-                        single |= e == s + 1
-                        score = base + hit[1]
-                        if best[e] is None or score > best[e]:
-                            best[e], back[e] = score, (s, hit[0])
-                            if e > self.reach:
-                                self.reach = e
-                if not single:
-                    score = base + v.floor
-                    if best[s + 1] is None or score > best[s + 1]:
-                        best[s + 1], back[s + 1] = score, (s, -1)
-                        if s + 1 > self.reach:
-                            self.reach = s + 1
-            self.at = s + 1
-            self.widest = max(self.widest, self.at)
-            if self.reach == s + 1:
-                done = s + 1  # every piece so far ends here: one boundary is left
-            elif self.at >= check and self.at % longest == 0:
-                done = self._meeting()
+        while s < stop and (commit is None or root < commit):
+            base, e, below = best[s], s, trie
+            while below:
+                if e == n:
+                    e += 1  # more letters would have been looked at
+                    break
+                hit, below = below.get(text[e], _NO_PIECE)
+                e += 1
+                if hit is None:
+                    if e != s + 1:
+                        continue
+                    hit = (-1, floor)  # a letter without a piece of its own
+                score = base + hit[1]
+                if score > best[e]:
+                    if back[e] >= 0:
+                        self._unused(back[e], root)
+                    best[e], back[e], piece[e] = score, s, hit[0]
+                    uses[s] += 1
+                    if e > reach:
+                        reach = e
+            if e > seen:
+                seen = e
+            if not uses[s] and s > root:
+                before, back[s] = back[s], -1
+                self._unused(before, root)
+            if reach - s > self.scores:
+                self.scores = reach - s
+            s += 1
+            if s - root > self.widest:
+                self.widest = s - root
+            # Do all surviving paths run through one boundary?
+            if reach == s:
+                done = s  # one boundary is left
+            elif uses[root] == 1:
+                done = root
+                for e in range(root + 1, s):  # along the one path, as far as it does not part
+                    if back[e] == done:
+                        done = e
+                        if uses[e] != 1:
+                            break
             else:
                 continue
-            if done:
-                out += self._commit(done)
-                last -= done
+            if done > root:
+                out += self._ids(root, done)
+                root = done
+        self.at, self.root, self.reach, self.seen = s, root, reach, seen
         return out
 
-    def _meeting(self) -> int:
-        """The last boundary on all surviving paths, 0 if that is the committed one."""
-        alive = {e for e in range(self.at, self.reach + 1) if self.best[e] is not None}
-        while len(alive) > 1:
-            e = max(alive)
-            alive.remove(e)
-            alive.add(self.back[e][0])
-        return alive.pop()
-
-    def _commit(self, to: int) -> list[int]:
-        """Ids up to boundary ``to``, which becomes the new start of the window."""
-        ids: list[int] = []
-        e = to
-        while e > 0:
-            s, piece = self.back[e]
-            if piece >= 0:
-                ids.append(piece)
-            elif self.vocab.byte_ids:
-                ids.extend(self.vocab.byte_ids[b] for b in reversed(self.text[s:e].encode("utf-8", "surrogatepass")))
+    def _unused(self, e: int, root: int) -> None:
+        """A path from boundary e is gone; take out the boundaries that no path uses then."""
+        back, uses = self.back, self.uses
+        uses[e] -= 1
+        while e > root and not uses[e]:
+            before = back[e]
+            back[e] = -1
+            uses[before] -= 1
+            e = before
+
+    def _ids(self, root: int, to: int) -> list[int]:
+        """Ids of the path between two boundaries."""
+        v, ids, e = self.vocab, [], to
+        while e > root:
+            s = self.back[e]
+            if self.piece[e] >= 0:
+                ids.append(self.piece[e])
+            elif v.byte_ids:
+                ids.extend(v.byte_ids[b] for b in reversed(self.text[s:e].encode("utf-8", "surrogatepass")))
             else:
-                ids.append(self.vocab.unknown)
+                ids.append(v.unknown)
             e = s
-        gone = self.best[to] if to < len(self.best) and self.best[to] is not None else 0.0
-        self.text = self.text[to:]
-        self.best = [None if b is None else b - gone for b in self.best[to:]] or [0.0]
-        self.back = [(s - to, p) for s, p in self.back[to:]] or [(-1, -1)]
-        self.back[0] = (-1, -1)
-        self.at = max(0, self.at - to)
-        self.reach = max(0, self.reach - to)
         return ids[::-1]
 
 
@@ -169,9 +206,9 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class Encoder(dict):
-    """Ids of texts; as a dict, the bytes of the ids of remembered words.
+    """Ids of texts; as a dict, the search's own results by stretch, as bytes.
 
-    When the table is full it becomes the older one, and words that are met again come
+    When the table is full it becomes the older one, and stretches that are met again come
     back from there: common words stay, in two tables of half the bound each.
     """
 
@@ -180,70 +217,64 @@ class Encoder(dict):
         self.vocab, self.half, self.older = vocab, memo_words // 2, {}
 
     def search(self, marked: str, step: int = 4096) -> list[int]:
-        """Ids of a marked text by the streaming search, fed in steps."""
+        """Ids of a marked text by the streaming search, fed in steps, without the table."""
         stream, ids = StreamingViterbi(self.vocab), []
         for at in range(0, len(marked), step):
             ids += stream.feed(marked[at : at + step])
         return ids + stream.close()
 
-    def search_word(self, marked: str) -> list[int]:
-        """As ``search``, for a word that fits the window: nothing to commit before its end."""
-        v, n = self.vocab, len(marked)
-        get, floor, none = v.trie.get, v.floor, -math.inf
-        best = [none] * (n + 1)
-        from_, piece = [0] * (n + 1), [-1] * (n + 1)
-        best[0] = 0.0
-        for s in range(n):
-            base = best[s]
-            if base == none:
-                continue
-            e = s + 1
-            hit = get(marked[s], 0)
-            if not hit and base + floor > best[e]:
-                best[e], from_[e], piece[e] = base + floor, s, -1
-            while hit != 0:
-                if hit is not None:
-                    score = base + hit[1]
-                    if score > best[e]:
-                        best[e], from_[e], piece[e] = score, s, hit[0]
-                e += 1
-                if e > n:
-                    break
-                hit = get(marked[s:e], 0)
-        ids: list[int] = []
-        e = n
-        while e > 0:
-            s = from_[e]
-            if piece[e] >= 0:
-                ids.append(piece[e])
-            elif v.byte_ids:
-                ids.extend(v.byte_ids[b] for b in reversed(marked[s:e].encode("utf-8", "surrogatepass")))
-            else:
-                ids.append(v.unknown)
-            e = s
-        return ids[::-1]
-
-    def __missing__(self, segment: str) -> bytes:
-        ids = self.older.get(segment)
-        if ids is None:
-            marked = segment.replace(" ", MARK)
-            found = self.search_word(marked) if len(marked) <= 2 * self.vocab.longest else self.search(marked)
-            ids = _packed(found)
-        if len(segment) <= MEMO_LETTERS:
+    def _remember(self, stretch: str, ids: bytes) -> None:
+        if len(stretch) <= MEMO_LETTERS:
             if len(self) >= self.half:
                 self.older = dict(self)
                 self.clear()
-            self[segment] = ids
-        return ids
+            self[stretch] = ids
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if not text:
             return b""
-        text = " " + text.replace(MARK, " ")
-        if not self.vocab.cuts_at_words:
-            return _packed(self.search(text.replace(" ", MARK)))
-        return b"".join(map(self.__getitem__, _SEGMENT.findall(text)))
+        marked = MARK + text.replace(" ", MARK)
+        stretches = _STRETCH.findall(marked)
+        parts = list(map(self.get, stretches))
+        k = at = 0  # stretch k begins at the committed boundary ``at``
+        for new in [i for i, ids in enumerate(parts) if ids is None]:
+            if new < k:
+                continue  # taken by the search before
+            at += sum(map(len, stretches[k:new]))
+            k, n, stretch = new, 1, stretches[new]
+            ids = self.get(stretch)  # since found in this text
+            if ids is None and (ids := self.older.get(stretch)) is not None:
+                self._remember(stretch, ids)
+            if ids is None:
+                ids, n = self._searched(marked, at, stretches, k)
+            parts[k : k + n] = [ids, *[b""] * (n - 1)]
+            at += sum(map(len, stretches[k : k + n]))
+            k += n
+        return b"".join(parts)
+
+    def _searched(self, marked: str, at: int, stretches: list[str], k: int) -> tuple[bytes, int]:
+        """The search from the committed boundary ``at``, where stretch k begins, till it commits the end of one.
+
+        Returns the ids and the number of stretches that they take.
+        """
+        size, ahead = len(stretches[k]), self.vocab.longest
+        stream, ids, end = StreamingViterbi(self.vocab, marked[at : at + size + ahead]), [], 0
+        for j in range(k, len(stretches)):
+            end += len(stretches[j])
+            while stream.root < end:
+                held = at + len(stream.text)
+                if held < len(marked) and len(stream.text) - stream.at <= ahead:
+                    stream.add(marked[held : held + size + 2 * ahead])
+                    held = at + len(stream.text)
+                ids += stream.advance(len(stream.text) - (ahead if held < len(marked) else 0), end)
+            if stream.root == end:
+                found = _packed(ids)
+                # No walk looked beyond the letter after the end: so it is wherever the stretch stands.
+                if j == k and at + end < len(marked) and stream.seen <= end + 1:
+                    self._remember(stretches[k], found)
+                return found, j + 1 - k
+        raise AssertionError("all paths meet at the end of a text")
 
     def decode(self, ids: bytes) -> str:
         pieces = self.vocab.bytes_of

@@ -5,14 +5,21 @@ one small table of signed sums: an insert adds its counts, a delete takes them a
 a revision takes its old counts away and adds the new ones. A batch is written beside
 the table and moved in under its id by one rename, so that it is there whole or not at
 all, and a batch whose id is there already is skipped: a batch that is sent again, after
-a lost answer or a lost driver, changes nothing. Totals are the sum over the batches;
-``compact`` folds them into one while it keeps their ids.
+a lost answer or a lost driver, changes nothing. Of two writers that send one id at the
+same time, the one whose token stands in the folder has won, whatever the rename said.
+
+Totals are the sum over the batches. ``compact`` folds them into one: a fold holds the
+sums and the ids of all batches that it stands for, and is published by one rename under
+the next number. Readers take the fold with the highest number and leave out the batches
+whose ids it holds, so that a driver may be lost at any step: before the rename nothing
+has changed, after it nothing more is needed. What is left over is removed by the next
+``compact``.
 
 Change rows have ``before`` and ``after`` images (struct<source, lang, version, docs,
 tokens, chars>); an insert has no before, a delete no after. Defined results: null keys
 form groups of their own; null counts are zero; a row with neither image changes
 nothing; an empty batch is committed and changes nothing; groups whose sums are all zero
-are not reported; repeated rows count as often as they stand.
+are not reported; repeated rows count as often as they stand; other columns are not read.
 """
 
 from __future__ import annotations
@@ -50,7 +57,7 @@ def deltas(changes: DataFrame) -> DataFrame:
 
 
 class TokenRollup:
-    """A rollup table in a folder that all executors share."""
+    """A rollup table in a folder that all executors share. Any number may commit, one may compact."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -60,57 +67,82 @@ class TokenRollup:
     def _at(self, *names: str):
         return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
 
-    def batches(self) -> list[str]:
-        """Ids of the committed batches, folded ones included."""
-        ids = []
-        for status in self.fs.listStatus(self.root):
-            name = status.getPath().getName()
-            if name.startswith("batch="):
-                ids.append(name[6:])
-            elif name.startswith("folded="):
-                ids += self.spark.read.schema("id string").json(f"{self.path}/{name}/ids").toPandas()["id"].tolist()
-        return sorted(ids)
+    def _rename(self, old: str, new: str) -> None:
+        self.fs.rename(self._at(old), self._at(new))
+
+    def _delete(self, name: str) -> None:
+        self.fs.delete(self._at(name), True)
+
+    def _names(self) -> list[str]:
+        """Names in the folder: what is there since the last compaction."""
+        return [s.getPath().getName() for s in self.fs.listStatus(self.root)]
+
+    @staticmethod
+    def _live_fold(names: list[str]) -> str | None:
+        return max((n for n in names if n.startswith("fold=")), key=lambda n: int(n[5:]), default=None)
+
+    def _folded(self, fold: str | None) -> DataFrame:
+        """``id``: the batches that a fold stands for."""
+        if fold is None:
+            return self.spark.createDataFrame([], "id string")
+        return self.spark.read.schema("id string").json(f"{self.path}/{fold}/ids")
+
+    def _state(self) -> tuple[str | None, list[str], list[str]]:
+        """The live fold, the ids of batches beside it, and names that stand for nothing any more."""
+        names = self._names()
+        fold, ids = self._live_fold(names), [n[6:] for n in names if n.startswith("batch=")]
+        in_fold = {r["id"] for r in self._folded(fold).where(F.col("id").isin(ids)).distinct().collect()} if fold and ids else set()
+        gone = [n for n in names if n.startswith((".fold-", "fold=")) and n != fold] + [f"batch={i}" for i in ids if i in in_fold]
+        return fold, sorted(i for i in ids if i not in in_fold), gone
+
+    def batches(self) -> DataFrame:
+        """``id`` of each committed batch."""
+        fold, ids, _ = self._state()
+        return self._folded(fold).union(self.spark.createDataFrame([(i,) for i in ids], "id string")).distinct()
+
+    def committed(self, batch_id: str) -> bool:
+        fold = self._live_fold(self._names())
+        return self.fs.exists(self._at(f"batch={batch_id}")) or bool(self._folded(fold).where(F.col("id") == batch_id).head(1))
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Add the changes under ``batch_id``; False if that batch is there already."""
         if not batch_id.replace("-", "").replace("_", "").isalnum():
             raise ValueError(f"a batch id has letters, digits, - and _: {batch_id!r}")
-        if batch_id in self.batches():
+        if self.committed(batch_id):
             return False
-        staged = f".staged-{uuid.uuid4().hex}"
+        staged, token = f".staged-{uuid.uuid4().hex}", f"_by-{uuid.uuid4().hex}"
         deltas(changes).write.parquet(f"{self.path}/{staged}")
-        target = self._at(f"batch={batch_id}")
-        won = not self.fs.exists(target) and self.fs.rename(self._at(staged), target)
-        if not won:
-            self.fs.delete(self._at(staged), True)
-        return bool(won)
-
-    def _parts(self) -> list[str]:
-        names = [s.getPath().getName() for s in self.fs.listStatus(self.root)]
-        folded = [f"{self.path}/{n}/sums" for n in names if n.startswith("folded=")]
-        return folded + [f"{self.path}/{n}" for n in names if n.startswith("batch=")]
+        self.fs.create(self._at(staged, token), False).close()
+        if not self.fs.exists(self._at(f"batch={batch_id}")):
+            self._rename(staged, f"batch={batch_id}")
+        if self.fs.exists(self._at(f"batch={batch_id}", token)):
+            return True
+        # Some file systems move the folder into the one that is there, where readers skip it.
+        for lost in (staged, f"batch={batch_id}/{staged}"):
+            self._delete(lost)
+        return False
 
     def totals(self) -> DataFrame:
         """Current sums of each group that has any."""
-        parts = self._parts()
+        fold, ids, _ = self._state()
+        parts = ([f"{self.path}/{fold}/sums"] if fold else []) + [f"{self.path}/batch={i}" for i in ids]
         rows = self.spark.read.schema(_SCHEMA).parquet(*parts) if parts else self.spark.createDataFrame([], _SCHEMA)
         sums = rows.groupBy(*KEYS).agg(*[F.sum(s).cast("bigint").alias(s) for s in SUMS])
         return sums.where(" or ".join(f"{s} <> 0" for s in SUMS))
 
     def compact(self) -> None:
-        """Fold all batches into one table of sums. One writer at a time may compact."""
-        ids, old = self.batches(), self._parts()
-        names = [s.getPath().getName() for s in self.fs.listStatus(self.root) if s.getPath().getName().startswith(("batch=", "folded="))]
-        if not old:
+        """Fold all batches into one table of sums."""
+        fold, ids, gone = self._state()
+        for name in gone:  # left over by a driver that was lost
+            self._delete(name)
+        if not ids:
             return
-        staged = f".staged-{uuid.uuid4().hex}"
+        staged = f".fold-{uuid.uuid4().hex}"
         self.totals().write.parquet(f"{self.path}/{staged}/sums")
-        self.spark.createDataFrame([(i,) for i in ids], "id string").coalesce(1).write.json(f"{self.path}/{staged}/ids")
-        for name in names:  # out of sight first: the sums must not count twice
-            self.fs.rename(self._at(name), self._at(f".old-{name}"))
-        self.fs.rename(self._at(staged), self._at(f"folded={uuid.uuid4().hex}"))
-        for name in names:
-            self.fs.delete(self._at(f".old-{name}"), True)
+        self._folded(fold).union(self.spark.createDataFrame([(i,) for i in ids], "id string")).write.json(f"{self.path}/{staged}/ids")
+        self._rename(staged, f"fold={int(fold[5:]) + 1 if fold else 1}")
+        for name in [*([fold] if fold else []), *(f"batch={i}" for i in ids)]:
+            self._delete(name)
 
 
 def with_token_counts(docs: DataFrame, *, text: str = "text", tokenizer: str | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..plans import storage
 from ..plans.storage import drop_files_of, hadoop_path, materialize, new_path, shared_dir, spread
 
-__all__ = ["drop_files_of", "hadoop_path", "in_few_parts", "let", "materialize", "new_path", "running_sums", "shared_dir", "ship", "spread"]
+__all__ = ["drop_files_of", "fresh", "hadoop_path", "in_few_parts", "let", "materialize", "new_path", "running_sums", "shared_dir", "ship", "spread"]
 
 #: Most rows and bytes that go to a Python worker at once: texts may be very long.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
@@ -23,6 +23,14 @@ def ship(spark: SparkSession) -> None:
             spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that none of ``df`` clashes with, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while f"_{name}".lower() in taken:
+        name += "_"
+    return f"_{name}"
+
+
 def in_few_parts(df: DataFrame) -> DataFrame:
     """``df`` in a few parts for each core: for narrow results, which give small files."""
     return df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)

@@ -1,6 +1,7 @@
 """op2, op5 and op10: held-out accuracy, laws, and messy rows."""
 
 import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -102,13 +103,63 @@ def brute_phrases(train, text):
 
 
 def test_automaton_takes_exactly_the_substrings():
+    """Phrases of the parse from the first letter, whatever the blocks."""
     rng = random.Random(2)
+    code = lambda text: np.array([ord(c) for c in text], dtype=np.int64)
     for _ in range(60):
-        train = "".join(rng.choice("abc \n") for _ in range(rng.randrange(1, 60)))
-        step = language.suffix_automaton(train)
-        for _ in range(20):
-            text = "".join(rng.choice("abcd ") for _ in range(rng.randrange(0, 30)))
-            assert language.phrases(step, text) == brute_phrases(train, text)
+        train = "".join(rng.choice("abc ") for _ in range(rng.randrange(1, 60)))
+        automaton = language.Automaton(code(train))
+        texts = ["".join(rng.choice("abcd ") for _ in range(rng.randrange(0, 70))) for _ in range(20)]
+        edges = np.cumsum([0, *map(len, texts)])
+        for block in (1, 2, 7, 30, 1000):
+            assert automaton.phrases(code("".join(texts)), edges, block).tolist() == [brute_phrases(train, t) for t in texts]
+
+
+def plain_running(text):
+    """Running text, letter by letter."""
+    out = " "
+    for c in text.lower():
+        out += c if unicodedata.category(c)[0] in "LM" else "" if out[-1] == " " else " "
+    return out.rstrip(" ") + " "
+
+
+def brute_language(labelled, text):
+    """The language of least bits a letter by plain search in the joined labelled texts."""
+    if not any(unicodedata.category(c)[0] == "L" for c in (text or "").lower()):
+        return "und", 0.0
+    read, bits = plain_running(text), {}
+    for lang, texts in labelled:
+        some = [plain_running(t) + "\n" for t in texts if any(c.isalpha() for c in t)]
+        if some:
+            bits[lang] = brute_phrases("".join(some), read) * np.log2(max(2, sum(map(len, some)))) / len(read)
+    if not bits:
+        return "und", 0.0
+    best = min(sorted(bits), key=bits.get)
+    return best, 1 / sum(2 ** (bits[best] - b) for b in bits.values())
+
+
+def test_language_is_that_of_least_entropy(documents):
+    """The operator against plain search in the same labelled texts, and texts without letters."""
+    train = [(r["lang"], r["text"]) for r in documents.where(F.length("text") < 1500).limit(60).collect()]
+    labelled = tuple((g, tuple(t for h, t in train if h == g)[:6]) for g in sorted({g for g, _ in train}))
+    texts = [r["text"] for r in documents.where(F.length("text") < 3000).limit(50).collect()]
+    texts += [None, "", "½ ²", "Ⅷ ① 12", "ñ", "日本", "a\u0301\u0301 b", "12 die und 34", "der und\nthe" * 300]
+    langs, scores = language.Parser(labelled).predict(texts)
+    want = [brute_language(labelled, t) for t in texts]
+    assert langs == [g for g, _ in want] and np.allclose(scores, [s for _, s in want])
+    assert langs[50:54] == ["und"] * 4 and langs[54] != "und" and not scores[50:54].any()
+
+
+def test_the_sample_is_bounded_in_whole_texts(spark):
+    rows = [(k, f"text number {k} " * 3, "en") for k in range(300)] + [(1000 + k, "copy of a text", "en") for k in range(300)]
+    rows += [(5000, "viele Worte " * 500, "de"), (5001, "wenige Worte " * 100, "de"), (6000, None, "fr"), (None, "sans", "fr"), (7000, "12", "it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    texts = {t for _, t, _ in rows}
+    learned = dict(language.learn(docs, sample_docs=40, sample_letters=700))
+    assert set(learned) == {"en", "de", "it"} and set(learned["en"]) <= texts
+    assert sum(map(len, learned["en"])) <= 700 and len(learned["en"]) == len(set(learned["en"])) > 5
+    assert learned["de"] == ("wenige Worte " * 100,)  # neither fits: the shortest
+    assert language.learn(docs, sample_docs=40, sample_letters=700) == tuple(sorted(learned.items()))
 
 
 def test_language_held_out(documents):

@@ -36,7 +36,8 @@ def encoding(source: str):
         return None
 
 
-def _count(text: str, source: str) -> int:
+def count(text: str, source: str) -> int:
+    """Tokens of one text."""
     enc = encoding(source)
     return len(enc.encode_ordinary(text)) if enc else len(text.split()) * 13 // 10
 
@@ -54,7 +55,7 @@ def count_encoded(text: Column | str, source: str) -> Column:
     @F.pandas_udf("int")
     def counted(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield part.map(lambda t: _count(t, source) if t else 0)
+            yield part.map(lambda t: count(t, source) if t else 0)
 
     return counted(col(text))
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions import tokens
 
 #: What opens a section (a comment line in code does, too), and fences.
 HEADING = re.compile(r"^(#{1,6})\s+(.*)$", re.MULTILINE)
@@ -31,6 +32,7 @@ class ChunkConfig:
     min_chunk_tokens: int = 40
     max_chunk_tokens: int = 2000
     respect_code_blocks: bool = True
+    tokenizer: str | None = None  # None: the default rule
 
     def __post_init__(self) -> None:
         if self.chunk_overlap_tokens >= self.chunk_size_tokens:
@@ -40,8 +42,8 @@ class ChunkConfig:
 Section = tuple[tuple[str, ...], int, str]  # heading path, level, body
 
 
-def tokens_of(text: str) -> int:
-    return len(text.split()) * 13 // 10
+def tokens_of(text: str, config: ChunkConfig) -> int:
+    return tokens.count(text, config.tokenizer) if config.tokenizer else len(text.split()) * 13 // 10
 
 
 def sections_of(text: str) -> Iterator[Section]:
@@ -84,7 +86,7 @@ def split_oversized(section: Section, config: ChunkConfig) -> Iterator[str]:
     held: list[str] = []
     room = config.chunk_size_tokens
     for part in paragraphs_of(body, fences):
-        n = tokens_of(part)
+        n = tokens_of(part, config)
         if held and n > room:
             yield "\n\n".join(held)
             held, room = [], config.chunk_size_tokens
@@ -102,11 +104,11 @@ def packed(text: str, config: ChunkConfig) -> Iterator[tuple[str, tuple[str, ...
 
     def flushed() -> Iterator[tuple[str, tuple[str, ...]]]:
         whole = "\n\n".join(p for p in held if p.strip())
-        if whole.strip() and tokens_of(whole) >= config.min_chunk_tokens:
+        if whole.strip() and tokens_of(whole, config) >= config.min_chunk_tokens:
             yield whole, path
 
     for section in sections_of(text):
-        n = tokens_of(section[2])
+        n = tokens_of(section[2], config)
         if n > config.max_chunk_tokens:
             yield from flushed()
             held, used = [], 0
@@ -152,7 +154,7 @@ def chunk(docs: DataFrame, config: ChunkConfig | None = None, *, id_col: str = "
         ident.alias("chunk_id"),
         id_col,
         F.col("p.text").alias("text"),
-        tx.count_tokens("p.text").alias("token_count"),
+        (tokens.count_encoded("p.text", config.tokenizer) if config.tokenizer else tx.count_tokens("p.text")).alias("token_count"),
         F.col("p.heading_path").alias("heading_path"),
         "chunk_index",
         F.col("p.base_text").contains("```").alias("contains_code"),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions import tokens
 
 #: Fixed value: the licence block, up to a blank line or the end.
 LICENSE_BLOCK = r"(?isu)licensed under the .*?license.*?(?:\n\n|\z)"
@@ -89,6 +90,7 @@ def clean(docs: DataFrame, *, text: str = "text", nfkc: bool = True) -> DataFram
     return tx.with_bound(step, {text: final}).drop("_fences", "_prose").where(tx.strip(text) != "")
 
 
-def enrich(docs: DataFrame, *, text: str = "text") -> DataFrame:
-    """Length, token count and content hash of each text."""
-    return tx.with_bound(docs, {"document_length_chars": F.length(text), "token_count": tx.count_tokens(text), "content_hash": tx.stable_hash(text)})
+def enrich(docs: DataFrame, *, text: str = "text", tokenizer: str | None = None) -> DataFrame:
+    """Length, token count (by ``tokenizer``, if given) and content hash of each text."""
+    out = tx.with_bound(docs, {"document_length_chars": F.length(text), "token_count": tx.count_tokens(text), "content_hash": tx.stable_hash(text)})
+    return out.withColumn("token_count", tokens.count_encoded(text, tokenizer)) if tokenizer else out

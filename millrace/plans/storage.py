@@ -56,6 +56,16 @@ def hadoop_path(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file on whatever file system the path names."""
+    fs, where = hadoop_path(spark, path)
+    out = fs.create(where, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     with contextlib.suppress(Exception):  # the JVM may be gone at exit
         fs, where = hadoop_path(spark, path)

@@ -127,6 +127,94 @@ def test_whole_run(spark, sf_dir, tmp_path):
     assert json.loads((tmp_path / "reports/r.json").read_text())["documents_collected"] == n
 
 
+CONFIG = """
+project_name: p
+directories: {{root: {d}/x, raw: {d}/x, intermediate: {d}/x, clean: {d}/x, processed: {d}/x, instruction: {d}/x, reports: {d}/x, logs: {d}/x}}
+sources:
+  github_repos:
+    - {{url: "https://example.org/team/tool.git", category: data_science, framework: spark, include_paths: [README.md, docs], include_source: true}}
+    - {{url: "https://example.org/team/gone", category: data_science}}
+  documentation:
+    - {{name: guide, base_url: "https://example.org/guide", urls: ["https://example.org/b", "https://example.org/a"], format: html}}
+  huggingface_datasets:
+    - {{repo_id: o/r, max_examples: 3, text_field: body}}
+  blogs:
+    - {{url: "https://blog.example.org/1", author: A}}
+  papers:
+    - {{identifier: "2305.18290"}}
+quality: {{min_quality_score: 0.0, min_readability_score: 0.0, min_token_count: 1}}
+chunking: {{min_chunk_tokens: 1}}
+tokenizer: {{encoding_name: "{t}"}}
+export: {{formats: [jsonl, hf_dataset], dataset_name: d, train_split: 0.5}}
+"""
+
+
+def test_from_configuration_to_export(spark, tmp_path):
+    """YAML and a mirror in, stages, reports and a dataset folder out, all read back."""
+    import pyarrow as pa
+    import public_tokenizers
+
+    mirror, out = tmp_path / "mirror", tmp_path / "out"
+    words = "The index keeps every document of a corpus and the search reads it in order. " * 6
+    lines = lambda *rows: "".join(json.dumps(r) + "\n" for r in rows)
+    tree = {
+        "github/tool/README.md": f"# Tool\n\n{words}\n\n```python\nx = 1\n```\n",
+        "github/tool/docs/a.md": f"# Usage\n\nHow to use it. {words[::-1]}",
+        "github/tool/src/m.py": "def f(x):\n    return x\n" * 5,
+        "documentation/guide.jsonl": lines({"url": "https://example.org/a", "body": f"<main><p>page a {words}</p></main>"}, {"url": "https://example.org/b", "body": f"<main><p>other page b, {words.upper()}</p></main>"}, {"url": "https://example.org/c", "body": "<p>not listed</p>"}),
+        "huggingface/o__r.jsonl": lines(*[{"row_index": k, "body": f"row {k} of the set " + chr(97 + k) * 30} for k in range(5)]),
+        "blogs.jsonl": lines({"url": "https://blog.example.org/1", "body": f"<article>A post. {words[10:]}</article>"}),
+        "papers.jsonl": lines({"identifier": "2305.18290", "title": "T", "abstract": "of things", "authors": ["B"], "body": "Introduction\nSome intro of the paper."}),
+    }
+    for path, body in tree.items():
+        (mirror / path).parent.mkdir(parents=True, exist_ok=True)
+        (mirror / path).write_text(body)
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    (tmp_path / "c.yaml").write_text(CONFIG.format(d=tmp_path, t=ranks))
+    conf = config.load_config(tmp_path / "c.yaml")
+    report = pipeline.run_config(spark, conf, f"file://{mirror}", f"file://{out}")
+    raw = spark.read.parquet(f"{out}/collect").orderBy("pos").collect()
+    assert [r["pos"] for r in raw] == list(range(len(raw)))
+    assert [r["source"] for r in raw] == ["github"] * 3 + ["documentation"] * 2 + ["huggingface"] * 3 + ["blog", "paper"]
+    assert [r["file_path"] for r in raw[:3]] == ["README.md", "docs/a.md", "src/m.py"] and raw[3]["url"].endswith("/b")
+    # The configured vocabulary counts the tokens of documents and chunks.
+    from millrace.functions import tokens
+
+    status = spark.read.parquet(f"{out}/clean").collect()
+    assert all(r["token_count"] == tokens.count(r["text"], ranks) for r in status)
+    assert any(r["token_count"] != len(r["text"].split()) * 13 // 10 for r in status)
+    assert all(r["token_count"] == tokens.count(r["text"], ranks) for r in spark.read.parquet(f"{out}/chunk").collect())
+    for name in ("filter_report", "validation_report", "dataset_statistics"):
+        assert json.loads((out / f"reports/{name}.json").read_text())
+    assert json.loads((out / "reports/dataset_statistics.json").read_text())["documents_collected"] == len(raw) == report["documents_collected"]
+    folder = out / "export" / "d_hf"
+    assert json.loads((folder / "dataset_dict.json").read_text()) == {"splits": ["train", "validation"]}
+    n = 0
+    for part in ("train", "validation"):
+        state, info = (json.loads((folder / part / f"{x}.json").read_text()) for x in ("state", "dataset_info"))
+        with pa.memory_map(str(folder / part / state["_data_files"][0]["filename"])) as f:
+            table = pa.ipc.open_stream(f).read_all()
+        assert set(info["features"]) == set(table.column_names) and info["features"]["instruction"] == {"dtype": "string", "_type": "Value"}
+        assert isinstance(info["features"]["metadata"], dict) and "template" in info["features"]["metadata"]
+        lines_of = spark.read.json(f"file://{out}/export/d.{part}.jsonl")
+        assert lines_of.count() == table.num_rows
+        n += table.num_rows
+    assert n == report["instruction_dataset"]["total_examples"] > 0
+    assert pipeline.run_stage(spark, "export", f"file://{out}", config=conf).count() == n
+    with pytest.raises(ValueError):
+        pipeline.run_stage(spark, "collect", f"file://{out}")
+    none = config.Sources(blogs=[config.Blog(url="https://x")])
+    from millrace.sources.collect import collect
+
+    assert collect(spark, none, f"file://{tmp_path}/none").count() == 0
+
+
+def test_laid_over_layers():
+    assert config.laid_over([{"a": {"b": 1, "c": {"d": 2}}, "e": [1]}, {"a": {"c": {"d": 3}}, "e": {"k": 1}}, {"a": {}}]) == {"a": {"b": 1, "c": {"d": 3}}, "e": {"k": 1}}
+    assert config.laid_over([{"a": {"b": 1}}, {"a": 5}]) == {"a": 5}
+    assert config.resolved("${X:-b} ${Y:c}${Z:} ${1x} ${A${X:q}", {"Y": "y"}) == "b y ${1x} ${Aq"
+
+
 def test_stream_equals_batch(spark, sf_dir, tmp_path):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("ts", F.timestamp_seconds(F.col("doc_id") + 1_000_000_000))
     docs.repartition(3).write.parquet(str(tmp_path / "in"))

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import storage
-from ..plans.storage import drop_files_of, hadoop_path, materialize, new_path, shared_dir, spread
+from ..plans.storage import drop_files_of, hadoop_path, materialize, new_path, scratch, shared_dir, spread
 
-__all__ = ["drop_files_of", "fresh", "hadoop_path", "in_few_parts", "let", "materialize", "new_path", "running_sums", "shared_dir", "ship", "spread"]
+__all__ = ["drop_files_of", "fresh", "hadoop_path", "in_few_parts", "let", "materialize", "new_path", "packed", "running_sums", "scratch", "shared_dir", "ship", "spread"]
 
 #: Most rows and bytes that go to a Python worker at once: texts may be very long.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
@@ -31,9 +31,18 @@ def fresh(df: DataFrame, name: str) -> str:
     return f"_{name}"
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` as one, so that no helper column can clash with any; ``name.*`` gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def in_few_parts(df: DataFrame) -> DataFrame:
-    """``df`` in a few parts for each core: for narrow results, which give small files."""
-    return df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
+    """``df`` in a few parts for each core: for narrow results, which give small files.
+
+    The rows are dealt anew, which costs little as they are narrow; to coalesce would have
+    the few tasks do all the work before.
+    """
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def let(value: Column, body) -> Column:

@@ -28,12 +28,12 @@ OP1 = f"""WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text,
    FROM ({" UNION ALL ".join(map(_hits, range(4)))})),
  base AS (SELECT * FROM raw WHERE rank IN (1, 2) OR rank = 0 AND length(v) >= {secrets.ASSIGN_LEAST}),
  occ AS (SELECT * FROM base UNION ALL SELECT * FROM raw r WHERE rank = 3 AND live AND NOT EXISTS (SELECT 1 FROM base b WHERE b.row = r.row AND b.start < r.stop AND r.start < b.stop)),
- held AS (SELECT v, count(DISTINCT coalesce(owner, chr(1))) AS owners, bool_or(rank < 3) AS base FROM occ JOIN d USING (row) GROUP BY v),
- span AS (SELECT row, start, stop, CASE WHEN rank < 3 THEN rank WHEN base THEN 3 WHEN owners = 1 THEN 4 END AS rank, CASE WHEN owners >= 3 THEN 'copied' WHEN owners = 1 AND live THEN 'live' ELSE 'shared' END AS verdict FROM occ JOIN held USING (v)),
+ held AS (SELECT v, count(DISTINCT coalesce(owner, chr(1))) AS owners, count(DISTINCT coalesce(owner, chr(1)) || chr(2) || coalesce(repository, chr(1))) AS repositories, bool_or(rank < 3) AS base FROM occ JOIN d USING (row) GROUP BY v),
+ span AS (SELECT row, start, stop, CASE WHEN rank < 3 THEN rank WHEN base THEN 3 WHEN owners = 1 THEN 4 END AS rank, CASE WHEN owners >= 3 THEN 'copied' WHEN owners = 1 AND live THEN CASE WHEN repositories = 1 THEN 'live' ELSE 'template' END ELSE 'shared' END AS verdict FROM occ JOIN held USING (v)),
  named AS (SELECT *, ['assign', 'access', 'hex', 'leak', 'owned'][rank + 1] || ':' || start || ':' || stop AS s FROM span WHERE rank IS NOT NULL)
 SELECT d.doc_id, count(*) FILTER (WHERE rank = 0)::BIGINT AS n_assign, count(*) FILTER (WHERE rank = 1)::BIGINT AS n_access, count(*) FILTER (WHERE rank = 2)::BIGINT AS n_hex,
  sha256(coalesce(string_agg(s, ',' ORDER BY start, rank) FILTER (WHERE rank < 3), '')) AS base_sha256, coalesce(string_agg(s, ',' ORDER BY start, rank), '') AS spans,
- count(*) FILTER (WHERE verdict = 'live')::BIGINT AS n_live, count(*) FILTER (WHERE verdict = 'copied')::BIGINT AS n_copied
+ count(*) FILTER (WHERE verdict = 'live')::BIGINT AS n_live, count(*) FILTER (WHERE verdict = 'template')::BIGINT AS n_template, count(*) FILTER (WHERE verdict = 'copied')::BIGINT AS n_copied
 FROM d LEFT JOIN named USING (row) GROUP BY d.row, d.doc_id"""
 
 OP7 = """WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),

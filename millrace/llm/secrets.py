@@ -2,9 +2,11 @@
 
 Every text is searched once for candidate credentials. The hash of each candidate is
 then counted over the whole corpus by distinct owner and distinct repository: a value
-that many owners hold is a widely copied example, a value that one owner holds and that
-looks random is taken as a live credential. Beside the three base kinds (``assign``,
-``access``, ``hex``) the ownership counts add two kinds of span:
+that many owners hold is a widely copied example (``copied``). A value that looks random
+and that one owner alone holds is taken as a live credential (``live``) if it stands in
+one of the owner's repositories, and as what the owner copies from one to the other
+(``template``) if in several. All else is ``shared``. Beside the three base kinds
+(``assign``, ``access``, ``hex``) the ownership counts add two kinds of span:
 
 * ``leak``: a long random-looking run, of no base kind here, whose value is a base
   candidate elsewhere in the corpus;
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_few_parts, let, materialize, running_sums
+from .common import in_few_parts, let, materialize, packed, running_sums
 
 #: Kinds in the order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex", "leak", "owned")
@@ -137,15 +139,15 @@ def ownership(found: DataFrame) -> DataFrame:
 def classified(found: DataFrame, copied_owners: int = 3) -> DataFrame:
     """``_row`` and its sorted ``spans``: start, rank, end, verdict.
 
-    verdict: ``copied`` for a value with at least ``copied_owners`` owners; ``live``
-    for one of a single owner that looks random; ``shared`` for the rest. Runs that are
-    neither a leak nor owned are not spans.
+    verdict: ``copied`` for a value with at least ``copied_owners`` owners; for one of a
+    single owner that looks random ``live`` in one repository and ``template`` in several;
+    ``shared`` for the rest. Runs that are neither a leak nor owned are not spans.
     """
     occ = found.select("_row", F.explode("_hits").alias("h")).select("_row", "h.*")
     held = occ.join(ownership(found), "digest")
     verdict = (
         F.when(F.col("owners") >= copied_owners, "copied")
-        .when((F.col("owners") == 1) & F.col("live"), "live")
+        .when((F.col("owners") == 1) & F.col("live"), F.when(F.col("repositories") == 1, "live").otherwise("template"))
         .otherwise("shared")
     )
     rank = (
@@ -199,6 +201,7 @@ def secret_digests(docs: DataFrame, **options) -> DataFrame:
         F.sha2(span_text(F.filter(spans, lambda s: s["rank"] < 3)), 256).alias("base_sha256"),
         span_text(spans).alias("spans"),
         with_verdict("live").alias("n_live"),
+        with_verdict("template").alias("n_template"),
         with_verdict("copied").alias("n_copied"),
     )
 
@@ -224,7 +227,7 @@ def redact(
     bad = classified(found, copied_owners).select("_row", F.filter("spans", lambda s: s["verdict"] != "copied").alias("_spans"))
     by_key = found.select("_row", "_id", "_text").join(bad.where(F.size("_spans") > 0), "_row").groupBy("_id", "_text").agg(F.first("_spans").alias("_spans"))
 
-    body = F.col(f"d.{text}")
+    body = F.col("_body")
     # Cut the text at the edges of merged spans; gaps keep their text.
     merged = F.aggregate(
         "_spans",
@@ -243,13 +246,18 @@ def redact(
         tail = F.substring(body, (F.element_at(m, -1)["b"] + 1).cast("int"), F.length(body))
         return F.concat(F.array_join(F.transform(before, lambda p: F.concat(p, F.lit(mark))), ""), tail)
 
-    joined = docs.alias("d").join(
-        by_key.alias("k"),
-        F.col(f"d.{id_col}").eqNullSafe(F.col("k._id")) & (F.sha2(F.coalesce(body, F.lit("")), 256) == F.col("k._text")),
-        "left",
-    )
+    rows = docs.select(packed(docs).alias("_doc"), F.col(id_col).alias("_id"), F.col(text).alias("_body"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("_text"))
+    rows, by_key = rows.alias("d"), by_key.alias("k")
+    joined = rows.join(by_key, F.col("d._id").eqNullSafe(F.col("k._id")) & (F.col("d._text") == F.col("k._text")), "left")
     new = F.when(F.col("_spans").isNull(), body).otherwise(let(merged, rebuilt))
-    if "n_chars" not in docs.columns:
-        return joined.select(*[new.alias(text) if c == text else F.col(f"d.`{c}`") for c in docs.columns])
-    cleaned = joined.select(*[new.alias(text) if c == text else F.col(f"d.`{c}`") for c in docs.columns], F.col("_spans").isNotNull().alias("_changed"))
-    return cleaned.select(*[F.when(F.col("_changed"), F.length(text)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+    cleaned = joined.select("_doc", new.alias("_new"), F.col("_spans").isNotNull().alias("_changed"))
+
+    def column(name: str) -> Column:
+        old = F.col(f"_doc.`{name}`")
+        if name == text:
+            return F.col("_new").alias(name)
+        if name == "n_chars":
+            return F.when(F.col("_changed"), F.length("_new")).otherwise(old).cast(docs.schema[name].dataType).alias(name)
+        return old.alias(name)
+
+    return cleaned.select(*map(column, docs.columns))

@@ -5,20 +5,32 @@ text and the probabilities that the models before it gave. The probabilities to
 are out of fold: those of models that did not see the document, so that a later model
 learns to trust an earlier one no more than it deserves.
 
+The categories are the label columns, last the one that decides. Where a corpus has just
+that one label, the chain begins with ``KINDS`` categories that are found in the labelled
+texts themselves: the toxic ones are grouped by the telling words that they share
+(spherical k-means from far-apart seeds), whatever their language, and to belong to a
+group is a category.
+
 Models are logistic with an L1 penalty over the presence of words and word beginnings
-(which inflected forms share), as the labels select them; training uses a bounded sample of labelled documents (``SAMPLE_DOCS``, by the
-hash of the id). Scoring reads whole texts, in one pass without a shuffle.
+(which inflected forms share), as the labels select them: the ``FEATURES`` terms in
+``LEAST_TEXTS`` or more texts whose share of positives is furthest, by ``LEAST_Z`` or more
+standard errors, from that of all. Training uses a bounded sample of labelled documents
+(``SAMPLE_DOCS`` whole texts of together ``SAMPLE_LETTERS`` at most, by the hash of the
+text). Scoring reads whole texts, in one pass without a shuffle.
 
 Defined results: a null or empty text counts as one without words; a document whose
-labels are null is not learned from; without labelled examples of both kinds a category
-has its rate in the sample (0 without any sample); repeated rows each give a row; null
-ids are passed through; an empty table gives an empty result; other columns are kept by
-``with_toxicity`` and not read.
+labels are null is not learned from, nor are an id or a text whose labels contradict each
+other; copies count once; without labelled examples of both kinds a category has its rate
+in the sample (0 without any sample); repeated rows each give a row; null ids are passed
+through; an empty table gives an empty result; other columns are kept by
+``with_toxicity`` (but for those of the names that it gives) and ``drop_toxic``, and not
+read.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,11 +40,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import fresh, materialize, packed
 
-SAMPLE_DOCS = 12_000
+SAMPLE_DOCS, SAMPLE_LETTERS = 12_000, 100_000_000
 FEATURES = 600
 LEAST_Z = 4.0
+LEAST_TEXTS = 5
+KINDS = 3
 FOLDS = 3
 L1, L2, ROUNDS = 1e-4, 1e-4, 200
 #: Lengths of word beginnings.
@@ -48,13 +62,6 @@ def terms(text: str) -> set[str]:
         found |= {"^" + w[:k] for w in words if len(w) > k}
     return found
 
-#: Fixed word lists that tell the categories of a toxic text apart; the words by which a
-#: text is toxic at all are learned from the labels.
-SEEDS = {
-    "insult": "clown dumb fool idiot imbecile jerk loser moron stupid",
-    "contempt": "disgusting filth garbage hateful pathetic scum trash vile worthless",
-}
-
 
 @dataclass
 class Chain:
@@ -153,44 +160,82 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float(np.clip((p[order][k] + low) / 2, 0.1, 0.9))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text: str, label_cols: list[str], bound: int) -> DataFrame:
-    """At most ``bound`` labelled documents: ``_text`` and the label columns.
+def kinds_of(x: np.ndarray, kinds: int, rounds: int = 25) -> np.ndarray:
+    """A kind from 0 on for each row of 0/1 features, by the terms that rows share; -1 for a row without any."""
+    size = np.linalg.norm(x, axis=1)
+    some = np.nonzero(size > 0)[0]
+    found = np.full(len(x), -1)
+    if not len(some):
+        return found
+    unit = x[some] / size[some, None]
+    # Far-apart seeds: the row nearest to the mean, then ever the one furthest from all seeds.
+    seeds = [int(np.argmax(unit @ unit.mean(axis=0)))]
+    while len(seeds) < min(kinds, len(unit)):
+        seeds.append(int(np.argmin((unit @ unit[seeds].T).max(axis=1))))
+    centres, group = unit[seeds], np.full(len(unit), -1)
+    for _ in range(rounds):
+        new = (unit @ centres.T).argmax(axis=1)
+        if (new == group).all():
+            break
+        group = new
+        centres = np.stack([unit[group == k].mean(axis=0) if (group == k).any() else centres[k] for k in range(len(seeds))])
+        centres /= np.linalg.norm(centres, axis=1)[:, None]
+    found[some] = group
+    return found
+
 
-    The labels are bounded before the join, so texts are filtered where they are read.
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, id_col: str, text: str, label_cols: list[str], bound: int, letters: int = SAMPLE_LETTERS
+) -> DataFrame:
+    """At most ``bound`` labelled documents of ``letters`` in all: ``_text`` and the label columns.
+
+    The labels are bounded before the join, so texts are filtered where they are read. An
+    id or a text with labels that contradict each other is left out. Which texts are taken
+    is settled by their hashes and sizes; a text that has no room left is passed over.
     """
-    known = labels.select(F.col(id_col).alias("_id"), *label_cols).dropna().dropDuplicates(["_id"])
-    few = materialize(known.orderBy(F.xxhash64("_id"), "_id").limit(bound), "labels")
-    some = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    # A row for each label: at most ``bound`` rows of numbers are broadcast.
-    joined = some.join(F.broadcast(few), "_id").dropDuplicates(["_text"])
-    return joined.orderBy(F.xxhash64("_id")).limit(bound)
+    ys = [f"_y{k}" for k in range(len(label_cols))]
 
+    def agreed(rows: DataFrame, key: str, *more: Column) -> DataFrame:
+        """One row for each key, if its labels agree."""
+        ends = [f(y).alias(f"{y}{n}") for y in ys for f, n in ((F.min, "a"), (F.max, "b"))]
+        one = rows.groupBy(key).agg(*ends, *more).where(" and ".join(f"{y}a = {y}b" for y in ys))
+        return one.drop(*(f"{y}b" for y in ys)).withColumnsRenamed({f"{y}a": y for y in ys})
 
-def seeded(toxic: str = "toxic") -> dict[str, Column]:
-    """Category labels of a sample: those that SEEDS tell apart, then ``toxic`` itself."""
-    found = {
-        name: ((F.col(toxic) == 1) & F.col("_text").rlike(r"(?i)\b(" + "|".join(words.split()) + r")\b")).cast("int")
-        for name, words in SEEDS.items()
-    }
-    return found | {toxic: F.col(toxic).cast("int")}
+    known = labels.select(F.col(id_col).alias("_id"), *[F.col(c).alias(y) for c, y in zip(label_cols, ys, strict=True)]).dropna()
+    few = materialize(agreed(known, "_id").orderBy(F.xxhash64("_id"), "_id").limit(bound), "labels")
+    some = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    # A row for each label: at most ``bound`` rows of numbers are broadcast.
+    joined = some.join(F.broadcast(few), "_id").drop("_id").withColumn("_key", F.xxhash64("_text"))
+    joined = materialize(joined, "labelled-texts")
+    sizes = agreed(joined.withColumn("_size", F.length("_text")).drop("_text"), "_key", F.max("_size").alias("_size"))
+    keys, room = [], letters
+    for r in sizes.select("_key", "_size").orderBy("_key").limit(bound).collect():  # numbers
+        if r["_size"] <= room:
+            keys.append((r["_key"],))
+            room -= r["_size"]
+    chosen = docs.sparkSession.createDataFrame(keys, "_key bigint")
+    texts = joined.join(F.broadcast(chosen), "_key").groupBy("_key").agg(F.min("_text").alias("_text"), *[F.min(y).alias(y) for y in ys])
+    return texts.select("_text", *[F.col(y).alias(c) for c, y in zip(label_cols, ys, strict=True)])
 
 
 def learn(
     docs: DataFrame,
     labels: DataFrame,
-    categories: dict[str, Column],
     *,
     id_col: str = "doc_id",
     text: str = "text",
-    label_cols: tuple[str, ...] = ("toxic",),
+    categories: tuple[str, ...] = ("toxic",),
+    kinds: int = KINDS,
     sample_docs: int = SAMPLE_DOCS,
     features: int = FEATURES,
 ) -> Chain:
-    """Fit the chain of ``categories`` (name to 0/1 column over the sample) in their order."""
-    names = list(categories)
-    sample = labelled_sample(docs, labels, id_col, text, list(label_cols), sample_docs)
-    sample = materialize(sample.select("_text", *[c.alias(f"_y{k}") for k, c in enumerate(categories.values())]), "labelled")
-    last = f"_y{len(names) - 1}"
+    """Fit the chain: ``kinds`` categories found in the texts, then the label columns in their order.
+
+    Labels are 0 or 1; with several label columns 0 kinds leave the chain to those.
+    """
+    names, last = list(categories), f"_y{len(categories) - 1}"
+    sample = labelled_sample(docs, labels, id_col, text, names, sample_docs)
+    sample = materialize(sample.select("_text", *[(F.col(c) > 0).cast("int").alias(f"_y{k}") for k, c in enumerate(names)]), "labelled")
     n, n1 = sample.agg(F.count("*"), F.coalesce(F.sum(last), F.lit(0))).first()
 
     def all_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -205,25 +250,33 @@ def learn(
     # z of a word's share of positives, against that of the sample.
     rate = n1 / n if n else 0.0
     z = (F.col("n1") - F.col("n") * rate) / F.sqrt(F.col("n") * max(rate * (1 - rate), 1e-9))
-    top = seen.where(F.col("n") >= 5).withColumn("z", z).where(F.abs("z") >= LEAST_Z).orderBy(F.desc(F.abs("z")), "w").limit(features)
+    top = seen.where(F.col("n") >= LEAST_TEXTS).withColumn("z", z).where(F.abs("z") >= LEAST_Z).orderBy(F.desc(F.abs("z")), "w").limit(features)
     chosen = [r["w"] for r in top.collect()] if 0 < n1 < n else []
     at = {w: k for k, w in enumerate(chosen)}
 
     def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            hits = [sorted(at[w] for w in at.keys() & terms(t)) for t in pdf.pop("_text")]
-            yield pdf.assign(hits=hits)
+            texts = pdf.pop("_text")
+            yield pdf.assign(key=[zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts], hits=[sorted(at[w] for w in at.keys() & terms(t)) for t in texts])
 
     ys = [f"_y{k}" for k in range(len(names))]
-    rows = sample.mapInPandas(present, ", ".join(f"{y} int" for y in ys) + ", hits array<int>").toPandas()
+    rows = sample.mapInPandas(present, ", ".join(f"{y} int" for y in ys) + ", key long, hits array<int>").toPandas()
+    # The order decides the folds; equal rows may stand in any.
+    rows["line"] = rows["hits"].map(lambda h: tuple(h))
+    rows = rows.sort_values(["key", "line", *ys], kind="stable")
     x = np.zeros((len(rows), len(chosen)))
     for r, hits in enumerate(rows["hits"]):
         x[r, np.asarray(hits, dtype=int)] = 1
-    return fit_chain(names, chosen, x, rows[ys].to_numpy(dtype=float).reshape(len(rows), len(names)))
+    y = rows[ys].to_numpy(dtype=float).reshape(len(rows), len(names))
+    group = np.full(len(rows), -1)
+    positive = y[:, -1] > 0
+    group[positive] = kinds_of(x[positive], kinds)
+    own = np.stack([group == k for k in range(kinds)], axis=1).astype(float) if kinds else np.zeros((len(rows), 0))
+    return fit_chain([*(f"kind_{k + 1}" for k in range(kinds)), *names], chosen, x, np.column_stack([own, y]))
 
 
-def with_toxicity(docs: DataFrame, chain: Chain, *, text: str = "text", prefix: str = "p_") -> DataFrame:
-    """``docs`` with the probability of each category."""
+def _scored(text: Column, chain: Chain) -> Column:
+    """A struct of the probability of each category of whole texts."""
     kind = T.StructType([T.StructField(c, T.DoubleType()) for c in chain.categories])
 
     @F.pandas_udf(kind)
@@ -231,19 +284,26 @@ def with_toxicity(docs: DataFrame, chain: Chain, *, text: str = "text", prefix:
         for some in texts:
             yield pd.DataFrame(chain.predict(some.tolist()), columns=chain.categories)
 
-    with_all = docs.withColumn("_scored", scored(F.col(text).cast("string")))
-    return with_all.withColumns({prefix + c: F.col(f"_scored.{c}") for c in chain.categories}).drop("_scored")
+    return scored(text.cast("string"))
+
+
+def with_toxicity(docs: DataFrame, chain: Chain, *, text: str = "text", prefix: str = "p_") -> DataFrame:
+    """``docs`` with the probability of each category, in place of columns of these names."""
+    found, new = fresh(docs, "scored"), {prefix + c: c for c in chain.categories}
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in new]
+    return docs.withColumn(found, _scored(F.col(text), chain)).select(*others, *[F.col(f"{found}.{c}").alias(n) for n, c in new.items()])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", threshold: float | None = None) -> DataFrame:
     """``id_col``, the probability of each category, and whether the text is toxic."""
-    chain = learn(docs, labels, seeded(), id_col=id_col, text=text)
+    chain = learn(docs, labels, id_col=id_col, text=text)
     scored = with_toxicity(docs.select(F.col(id_col), F.col(text).alias("_text")), chain, text="_text").drop("_text")
-    return scored.withColumn("toxic", F.col("p_toxic") >= (chain.threshold if threshold is None else threshold))
+    return scored.withColumn("toxic", F.col(f"p_{chain.categories[-1]}") >= (chain.threshold if threshold is None else threshold))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", threshold: float | None = None) -> DataFrame:
     """``docs`` without the documents that the chain finds toxic."""
-    chain = learn(docs, labels, seeded(), id_col=id_col, text=text)
+    chain = learn(docs, labels, id_col=id_col, text=text)
     threshold = chain.threshold if threshold is None else threshold
-    return with_toxicity(docs, chain, text=text, prefix="_p_").where(F.col("_p_toxic") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    scored = docs.select(packed(docs).alias("_doc"), _scored(F.col(text), chain).alias("_p"))
+    return scored.where(F.col(f"_p.{chain.categories[-1]}") < threshold).select("_doc.*")

@@ -15,6 +15,7 @@ rows, else joined by a shuffle.
 Defined results: a null or empty text has no evidence (probability = the sample's share
 of good documents); null hosts or paths form groups of their own; without labels, or
 with labels of one kind alone, that share, or 1 without any, is all evidence there is;
+an id or a text whose labels contradict each other is not learned from, copies count once;
 repeated rows each give a row; null ids are passed through; an empty table gives an
 empty result; other columns are kept by ``drop_poor`` and not read.
 """
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_few_parts, materialize
+from .common import in_few_parts, materialize, packed
 from .toxicity import labelled_sample
 
 SAMPLE_DOCS = 12_000
@@ -124,7 +125,7 @@ def fit_evidence(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> Evidence:
 
 def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", label: str = "quality", sample_docs: int = SAMPLE_DOCS) -> Evidence:
     """Fit the classifier on a bounded sample of the labelled documents."""
-    sample = labelled_sample(docs, labels, id_col, text, [label], sample_docs).select("_text", F.col(label).cast("double").alias("_y"))
+    sample = labelled_sample(docs, labels, id_col, text, [label], sample_docs).select("_text", (F.col(label) > 0).cast("double").alias("_y"))
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -214,7 +215,7 @@ def drop_poor(
     stored or (while the paths are few) shuffled.
     """
     model = learn(docs, labels, id_col=id_col, text=text)
-    rows = docs.withColumns({"_host": F.col(host), "_path": F.col(path), "_p": evidence(F.col(text), model)})
+    rows = docs.select(packed(docs).alias("_doc"), F.col(host).alias("_host"), F.col(path).alias("_path"), evidence(F.col(text), model).alias("_p"))
     paths, strength, share = site_posteriors(rows.select("_host", "_path", "_p"))
     final = _with_sites(rows, paths).where(_final(F.col("_p"), strength, share) >= threshold)
-    return final.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return final.select("_doc.*")

@@ -14,7 +14,8 @@ zero), so that short and long texts alike have subsets of fitting size.
 
 All steps are DataFrame expressions. Texts are shuffled once, by ranges of ids, to meet
 the text that follows in descending order; ranges rest on quantiles of the ids and their
-number grows with the corpus up to ``MOST_RANGES``, a bound on what is broadcast.
+number grows with the corpus up to ``MOST_RANGES``, a bound on what is broadcast. Rows of
+an id that holds more than a range's share are cut by their text's hash.
 
 Defined results: a null text counts as empty; a text without terms of the lexicon has
 the fingerprint of all its terms, so an empty one that of none; equal texts have equal
@@ -26,6 +27,8 @@ table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import json
+from collections import Counter
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +40,11 @@ TERM = r"(?U)[\p{L}\p{N}]+"
 #: The band, as shares of the documents: idf between ln(1/0.25) and ln(1/0.002).
 LEAST_SHARE, MOST_SHARE = 0.002, 0.25
 REPEATS, LEVELS = 6, 10
+#: Bits of a subset's signature, all of which are compared and printed.
+SIGNATURE_BITS = 32
 _SLOTS = 1 << 14
-QUANTILES, RANGE_ROWS, MOST_RANGES = 64, 256, 65_536
+#: Ids are cut at CELLS quantiles of CELLS quantiles each.
+CELLS, RANGE_ROWS, MOST_RANGES = 64, 256, 65_536
 
 
 def term_hashes(text: Column) -> Column:
@@ -67,8 +73,9 @@ def _in_lexicon(words: list[int]) -> Column:
 
 
 def signatures(terms: Column, words: list[int]) -> Column:
-    """array<bigint>: the hash of the kept terms of each subset, null for none."""
+    """array<bigint>: the signature of the kept terms of each subset, null for none."""
     table = _in_lexicon(words)
+    sign = lambda of: F.xxhash64(of).bitwiseAND(F.lit((1 << SIGNATURE_BITS) - 1))
     kept = let(
         terms,
         lambda t: let(
@@ -85,16 +92,16 @@ def signatures(terms: Column, words: list[int]) -> Column:
             bit = F.lit(1 << (repeat * LEVELS))
             mask = F.call_function("shiftleft", bit.cast("bigint"), k - 1)
             rest = F.filter(acc["rest"], lambda h: h.bitwiseAND(mask) == 0)
-            return let(rest, lambda r: F.struct(r.alias("rest"), F.concat(acc["sigs"], F.array(F.when(F.size(r) > 0, F.xxhash64(r)))).alias("sigs")))
+            return let(rest, lambda r: F.struct(r.alias("rest"), F.concat(acc["sigs"], F.array(F.when(F.size(r) > 0, sign(r)))).alias("sigs")))
 
         return F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS)), start, shrink, lambda acc: acc["sigs"])
 
-    return let(kept, lambda k: F.concat(F.array(F.xxhash64(k)), *[nested(k, r) for r in range(REPEATS)]))
+    return let(kept, lambda k: F.concat(F.array(sign(k)), *[nested(k, r) for r in range(REPEATS)]))
 
 
 def fingerprint_text(sigs: Column) -> Column:
-    """Six hex digits for each signature, - for a subset without terms, dot-joined."""
-    return F.array_join(F.transform(sigs, lambda s: F.coalesce(F.lower(F.right(F.lpad(F.hex(s), 16, "0"), F.lit(6))), F.lit("-"))), ".")
+    """Hex digits of each signature, - for a subset without terms, dot-joined."""
+    return F.array_join(F.transform(sigs, lambda s: F.coalesce(F.lower(F.lpad(F.hex(s), SIGNATURE_BITS // 4, "0")), F.lit("-"))), ".")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -104,27 +111,44 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def with_range(rows: DataFrame, id_col: str, tie: str) -> DataFrame:
-    """``rows`` with ``_range``: numbers that go down in the order of descending ids.
+    """``rows`` with ``_range``: numbers that go down in the order of descending ids, then ``tie``.
 
-    Ids are dealt by their quantiles, and evenly between those; null ids come below all
-    others, by ``tie`` (a long, descending).
+    Ids (numbers) are dealt by their quantiles, evenly between those; an id that spans
+    several quantiles is dealt by ``tie``, a long, as are null ids, which come below all.
     """
-    at = F.percentile_approx(id_col, F.array(*[F.lit(k / QUANTILES) for k in range(QUANTILES + 1)]), F.lit(10_000))
-    edges, n = rows.agg(at, F.count("*")).first()
-    parts = max(1, min(MOST_RANGES, n // RANGE_ROWS) // QUANTILES)
-    edges = sorted(set(edges or [0]))
-    lows = F.array(*[F.lit(e) for e in edges])
-    cell = F.size(F.filter(lows, lambda e: e <= F.col(id_col)))
-
-    def within(c: Column) -> Column:
-        low = F.element_at(lows, F.greatest(c, F.lit(1))).cast("double")
-        high = F.element_at(lows, F.least(F.greatest(c, F.lit(1)) + 1, F.lit(len(edges)))).cast("double")
-        share = F.when(high > low, (F.col(id_col).cast("double") - low) / (high - low)).otherwise(F.lit(0.0))
-        return (c * parts + F.least(F.greatest(F.floor(share * parts), F.lit(0)), F.lit(parts - 1))).cast("int")
-
-    spread = len(edges) * parts
-    nulls = (F.floor((F.col(tie) / F.lit(2.0**64) + 0.5) * spread) - spread - 1).cast("int")
-    return rows.withColumn("_range", F.when(F.col(id_col).isNull(), nulls).otherwise(let(cell, within)))
+    cells = CELLS * CELLS
+    at = F.percentile_approx(id_col, F.array(*[F.lit(k / cells) for k in range(cells + 1)]), F.lit(4 * cells))
+    found, n = rows.agg(at, F.count("*")).first()
+    parts = max(1, min(MOST_RANGES, n // RANGE_ROWS) // cells)
+    edges = sorted(set(found or [0]))
+    # An edge that stands m times holds m - 1 cells by itself: as many ranges for its ties.
+    times = Counter(found or [0])
+    own = [parts * max(1, times[e] - 1) for e in edges]
+    first = [0, *accumulate(o + parts for o in own)]
+    groups = [edges[k : k + CELLS] for k in range(0, len(edges), CELLS)]
+    told = {"heads": [g[0] for g in groups], "groups": groups, "edges": edges, "own": own, "first": first[:-1]}
+    kind = "struct<heads:array<{0}>,groups:array<array<{0}>>,edges:array<{0}>,own:array<int>,first:array<int>>"
+    # One literal for the optimizer to fold, not one for each edge.
+    table = F.from_json(F.lit(json.dumps(told)), kind.format(rows.schema[id_col].dataType.simpleString()))
+    key, share = F.col(id_col), F.col(tie) / F.lit(2.0**64) + 0.5
+
+    def cell(t: Column) -> Column:
+        """How many edges are not above the id, at least 1."""
+        group = F.greatest(F.size(F.filter(t["heads"], lambda e: e <= key)), F.lit(1))
+        return F.greatest((group - 1) * CELLS + F.size(F.filter(F.element_at(t["groups"], group), lambda e: e <= key)), F.lit(1))
+
+    def number(t: Column, c: Column) -> Column:
+        low, high = F.element_at(t["edges"], c), F.try_element_at(t["edges"], c + 1)
+        of = F.element_at(t["own"], c)
+        tied = F.least(F.floor(share * of), of - 1)
+        wide = high.cast("double") - low.cast("double")
+        between = F.when(wide > 0, F.floor((key.cast("double") - low.cast("double")) / wide * parts)).otherwise(F.lit(0))
+        inside = F.greatest(F.least(between, F.lit(parts - 1)), F.lit(0))
+        return (F.element_at(t["first"], c) + F.when(key == low, tied).when(key < low, F.lit(-1)).otherwise(of + inside)).cast("int")
+
+    nulls = F.floor(share * first[-1]) - first[-1] - 2
+    numbered = let(table, lambda t: let(cell(t), lambda c: number(t, c)))
+    return rows.withColumn("_range", F.when(key.isNull(), nulls).otherwise(numbered).cast("int"))
 
 
 def with_guests(rows: DataFrame, id_col: str, tie: str) -> DataFrame:

@@ -1,7 +1,10 @@
 """op3 against plain Python for texts, and its laws for fingerprints."""
 
 import hashlib
+from collections import Counter
 
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from millrace.llm import imatch
@@ -50,7 +53,7 @@ def test_one_row_follows_itself(spark):
 
 def test_many_ranges_keep_the_order(spark, monkeypatch):
     monkeypatch.setattr(imatch, "RANGE_ROWS", 2)
-    monkeypatch.setattr(imatch, "QUANTILES", 8)
+    monkeypatch.setattr(imatch, "CELLS", 3)
     rows = [(k * k * 7 - 5000, f"text {k} " * (k % 9)) for k in range(200)] + [(10**15, "far"), (10**15 + 1, "away")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = imatch.edited_fingerprints(df).collect()
@@ -73,3 +76,67 @@ def test_lexicon_is_the_band(spark):
     a, b = spark.createDataFrame([(1, "half tenth"), (2, "tenth every HALF own5")], "doc_id long, text string"), imatch.lexicon(df, least=0.05, most=0.6)
     sigs = [r["s"] for r in a.select(imatch.signatures(imatch.term_hashes(F.col("text")), b).alias("s")).collect()]
     assert sigs[0] == sigs[1]
+
+
+def spark_hash(values, seed=42):
+    """xxhash64 of an array of longs, or of a text."""
+    if isinstance(values, str):
+        h = xxhash.xxh64_intdigest(values.encode(), seed)
+    else:
+        h = seed
+        for v in values:
+            h = xxhash.xxh64_intdigest((v % 2**64).to_bytes(8, "little"), h)
+    return h - 2**64 if h >= 2**63 else h
+
+
+def plain_signatures(text, lexicon):
+    terms = sorted({spark_hash(w) for w in regex.findall(r"[\p{L}\p{N}]+", text.lower())})
+    kept = [t for t in terms if t in lexicon] or terms
+    out = [spark_hash(kept) % 2**32]
+    for repeat in range(imatch.REPEATS):
+        rest = kept
+        for level in range(imatch.LEVELS):
+            rest = [t for t in rest if not t >> (repeat * imatch.LEVELS + level) & 1]
+            out.append(spark_hash(rest) % 2**32 if rest else None)
+    return out
+
+
+def plain_likeness(a, b):
+    pairs = [(x, y) for x, y in zip(a, b) if x is not None or y is not None]
+    return sum(x == y for x, y in pairs) / len(pairs)
+
+
+def test_fingerprints_and_likeness_by_plain_python(documents):
+    """Lexicon over all documents, signatures of texts and edits, likeness from the printed fingerprints."""
+    rows = sorted(((r["doc_id"], r["text"] or "") for r in documents.collect()), reverse=True)
+    seen = {}
+    for _, text in rows:
+        for w in set(regex.findall(r"[\p{L}\p{N}]+", text.lower())):
+            seen[w] = seen.get(w, 0) + 1
+    low, high = max(2.0, imatch.LEAST_SHARE * len(rows)), max(2.0, imatch.MOST_SHARE * len(rows))
+    lexicon = {spark_hash(w) for w, n in seen.items() if low <= n <= high}
+    shown = lambda sigs: ".".join("-" if s is None else f"{s:08x}" for s in sigs)
+    back = lambda text: [None if s == "-" else int(s, 16) for s in text.split(".")]
+    got = {r["doc_id"]: r for r in imatch.edited_fingerprints(documents).collect()}
+    for k, (i, text) in enumerate(rows):
+        follow = rows[(k + 1) % len(rows)]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + follow[1][:half]
+        r = got[i]
+        assert r["fingerprint"] == shown(plain_signatures(text, lexicon))
+        assert r["edited_fingerprint"] == shown(plain_signatures(edited, lexicon))
+        assert abs(r["near_edited"] - plain_likeness(back(r["fingerprint"]), back(r["edited_fingerprint"]))) < 1e-12
+        assert abs(r["near_next"] - plain_likeness(back(r["fingerprint"]), back(got[follow[0]]["fingerprint"]))) < 1e-12
+
+
+def test_ranges_stay_even(spark, monkeypatch):
+    """Ids in bursts with wide gaps, and one id that a third of the rows have."""
+    monkeypatch.setattr(imatch, "RANGE_ROWS", 5)
+    monkeypatch.setattr(imatch, "CELLS", 16)
+    ids = [b * 10**12 + k for b in range(10) for k in range(200)] + [77] * 1000
+    df = spark.createDataFrame([(i, f"text {n}") for n, i in enumerate(ids)], "id long, text string").withColumn("tie", F.xxhash64("text"))
+    rows = imatch.with_range(df, "id", "tie").collect()
+    by_range = Counter(r["_range"] for r in rows)
+    assert len(by_range) > 150 and max(by_range.values()) < 3 * len(rows) / 256
+    ordered = sorted(rows, key=lambda r: (r["id"], r["tie"]))
+    assert [r["_range"] for r in ordered] == sorted(r["_range"] for r in rows)

@@ -10,8 +10,8 @@ lower bound reaches it; the rest is computed again in double precision. No pair
 and none below the threshold links.
 
 Vectors are compared within one label and dimension. Equal vectors are collapsed first.
-A label with n distinct vectors is dealt into ceil(n / tile) tiles by hash, and each
-pair of tiles is a task of bounded size, so that a hot label spreads over the cluster. A
+A label with n distinct vectors is dealt into ceil(n / tile) tiles by hash, of ``TILE``
+vectors and ``TILE_BYTES`` at most, and each pair of tiles is a task of bounded size, so that a hot label spreads over the cluster. A
 task returns one row per vector (its links there and its root in a spanning forest),
 never the pairs. The number of tile pairs grows with the square of a label's distinct
 vectors, as an exact search by this method must.
@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from .common import in_few_parts, materialize
 from .components import connected_components
 
-TILE = 8192
+#: Most vectors in a tile, and most bytes of them: long vectors get smaller tiles.
+TILE, TILE_BYTES = 8192, 16 << 20
 _ROWS = 1024
 _SLACK = 4e-6  # above what float32 rounding adds to products of scales
 _DIMS = 1024  # 127 * 127 * 1024 < 2**24: sums of int8 products stay exact in float32
@@ -138,12 +139,13 @@ def near_duplicate_vectors(
         "vectors",
     )
     good = rows.where("_ok")
-    # A copy's key is a 128-bit hash of its label and components; all copies meet in one group.
+    # Copies are aggregated before the exchange, so that a large group of them is a row from each task.
     reps = materialize(
         good.groupBy("_label", "_v").agg(F.min("_row").alias("_rep"), F.count("*").alias("_n"), F.min("_id").alias("_least")).withColumn("_dim", F.size("_v")),
         "distinct-vectors",
     )
-    tiles = reps.groupBy("_label", "_dim").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("_tiles"))
+    fits = F.least(F.lit(tile), F.greatest(F.lit(1), F.floor(F.lit(TILE_BYTES) / (F.col("_dim") * 8))))
+    tiles = reps.groupBy("_label", "_dim").agg(F.ceil(F.count("*") / fits).cast("int").alias("_tiles"))
     dealt = (
         reps.join(tiles, ["_label", "_dim"])
         .withColumn("_tile", F.pmod(F.xxhash64("_rep"), F.col("_tiles")).cast("int"))

@@ -1,22 +1,12 @@
-"""Near-duplicates by the Jaccard similarity of word shingles, exact.
-
-Two texts link when their sets of word shingles (XXH64 values) have a Jaccard similarity
-of at least ``similarity``. All links are found without comparing all pairs, by prefix
-filtering: under any one order of all shingles, two sets of n and more shingles that are
-alike to the share s have a shingle in common within the first n - ceil(s * n) + 1 of
-each. The order puts shingles that are common in a bounded sample last; it moves only the
-cost, any order finds every link.
-
-Equal sets are collapsed before. What is wanted are components, so within a shingle's
-sets each is first compared with the least of them, and pairs are compared only where
-their sets are not yet in one component: a large group of near copies costs a comparison
-a set and not a pair. Candidates are first held to a bound that loses none: where the
-parities of two sets' counts in cells of the hashes differ, so do the sets. The rest are checked by the size of the intersection.
-
-Defined results: a null text counts as empty; texts without words are copies of each
-other; a text of fewer words than a shingle is one shingle; words are as for
-``simhash.fingerprint``; repeated rows, null ids, empty tables and other columns are as
-for ``simhash.keep_one``.
+"""Sets of word shingles, and the exact check of their Jaccard similarity.
+
+``simhash`` finds candidate pairs; here they are held to the similarity itself. First
+come bounds that lose no pair: where the parities of two sets' counts in cells of the
+hashes differ, so do the sets. The rest are checked by the size of the intersection. All
+of it is joins on the set's hash, whose sides are aggregated to one row a set.
+
+Defined results: a null text counts as empty, and sets without shingles are equal; a text
+of fewer words than a shingle is one shingle; words are as for ``simhash.fingerprint``.
 """
 
 from __future__ import annotations
@@ -24,20 +14,13 @@ from __future__ import annotations
 from fractions import Fraction
 
 import numpy as np
-import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import drop_files_of, materialize
-from .components import connected_components
-from .simhash import SEED, kept_rows, row_key
 
-#: The sample on which the order of shingles rests: so many sets, or this share of them.
-ORDER_SAMPLE, ORDER_SHARE = 3000, 0.02
-#: Most shingles that are put last; they go through the driver to the executors.
-MOST_COMMON = 1 << 16
+SEED = 42
 #: Cells of the two parity sketches, powers of two: the small one for all candidates,
 #: the large one for those that it leaves, as sets of many shingles fill the small one.
 CELLS, MORE_CELLS = 512, 4096
@@ -62,65 +45,6 @@ def parity(s: np.ndarray, cells: int) -> list[int]:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
 
 
-def with_shingles(docs: DataFrame, columns: list[Column], text: str = "text", words: int = 5) -> DataFrame:
-    """``columns`` of ``docs``, ``_fp`` (its shingle set's hash), ``_n``, two sketches and ``_shingles``."""
-    kept = docs.select(*columns, F.col(text).cast("string").alias("_body"))
-
-    longs = T.ArrayType(T.LongType())
-    more_fields = [T.StructField("_fp", T.LongType()), T.StructField("_n", T.LongType()), *[T.StructField(n, longs) for n in ("_parity", "_more_parity", "_shingles")]]
-
-    def run(batches):
-        for batch in batches:
-            at = batch.schema.get_field_index("_body")
-            sets = [shingle_set(x.as_py(), words) for x in batch.column(at)]
-            fps = pa.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], pa.uint64()).view(pa.int64())
-            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.zeros(0, dtype="<i8")]), pa.int64()))
-            names = [f.name for k, f in enumerate(batch.schema) if k != at]
-            more = [fps, pa.array(list(map(len, sets)), pa.int64()), *[pa.array([parity(s, n) for s in sets], pa.list_(pa.int64())) for n in (CELLS, MORE_CELLS)], lists]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *more], names=[*names, *[f.name for f in more_fields]])
-
-    return kept.mapInArrow(run, T.StructType([*kept.drop("_body").schema.fields, *more_fields]))
-
-
-def common_shingles(marked: DataFrame) -> list[int]:
-    """Shingles of several sets of a sample, the rarest first: at most ``MOST_COMMON``."""
-    share = max(ORDER_SHARE, ORDER_SAMPLE / max(1, marked.count()))
-    cut = int(min(1.0, share) * (1 << 32))
-    some = marked.where(F.pmod("_fp", F.lit(1 << 32)) < cut).select(F.explode("_shingles").alias("h"))
-    top = some.groupBy("h").count().where("count > 1").orderBy(F.desc("count"), "h").limit(MOST_COMMON)
-    return [r["h"] for r in top.collect()][::-1]
-
-
-def prefixes(marked: DataFrame, common: list[int], like: Fraction) -> DataFrame:
-    """``token`` and ``_fp``: the first shingles of each set."""
-    order = np.argsort(np.array(common, dtype=np.int64), kind="stable")
-    last = np.array(common, dtype=np.int64)[order]
-    p, q = like.numerator, like.denominator
-
-    def first(s: np.ndarray) -> np.ndarray:
-        size = len(s) + (-p * len(s)) // q + 1 if len(s) else 0
-        if not len(last):
-            return s[:size]
-        at = np.minimum(np.searchsorted(last, s), len(last) - 1)
-        late = last[at] == s
-        early = s[~late]
-        return early[:size] if len(early) >= size else np.concatenate([early, s[late][np.argsort(order[at[late]])]])[:size]
-
-    def run(batches):
-        for batch in batches:
-            ids = batch.column("_fp").to_numpy(zero_copy_only=False)
-            lists = batch.column("_shingles")
-            flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            sets = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            heads = [first(s) for s in sets]
-            sizes = list(map(len, heads))
-            columns = [np.concatenate([*heads, np.zeros(0, dtype=np.int64)]), np.repeat(ids, sizes)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["token", "_fp"])
-
-    return marked.select("_fp", "_shingles").mapInArrow(run, "token long, _fp long")
-
-
 def sets_of(pairs: DataFrame, marked: DataFrame, column: str) -> DataFrame:
     """``_fp`` and ``column`` of the sets in ``pairs``."""
     ids = pairs.select(F.col("a").alias("_fp")).union(pairs.select("b")).distinct()
@@ -154,38 +78,3 @@ def checked(pairs: DataFrame, marked: DataFrame, sketch: DataFrame, like: Fracti
     found = materialize(pairs.join(x, "a").join(y, "b").where(enough).select("a", "b"), "links", narrow=True)
     drop_files_of(sets)
     return found
-
-
-def links(marked: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """Pairs ``a``, ``b`` of ``_fp`` that are alike enough, and join all sets that are."""
-    like = Fraction(str(similarity))
-    if not 0 < like <= 1:
-        raise ValueError("similarity must be above 0 and at most 1")
-    sketch = materialize(marked.select("_fp", "_n", "_parity").dropDuplicates(["_fp"]), "sketch", narrow=True)
-    # One exchange of the prefixes serves both sides of the join.
-    heads = prefixes(marked, common_shingles(marked), like).repartition("token")
-    met = heads.groupBy("token").agg(F.min("_fp").alias("least"), F.max("_fp").alias("most")).where("least < most")
-    shared = materialize(heads.join(met.select("token", "least"), "token").distinct(), "shared", narrow=True)
-    near = checked(shared.where("_fp <> least").select(F.col("least").alias("a"), F.col("_fp").alias("b")), marked, sketch, like)
-    root = connected_components(near, "a", "b").withColumnRenamed("node", "_fp")
-    rooted = materialize(shared.join(root, "_fp", "left").withColumn("root", F.coalesce("root", "_fp")), "rooted", narrow=True)
-    drop_files_of(shared)
-    mixed = rooted.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("token")
-    # The least set of a token has met all others there.
-    open_ = materialize(rooted.where("_fp <> least").join(mixed, "token", "left_semi"), "open", narrow=True)
-    x, y = open_.alias("x"), open_.alias("y")
-    apart = (F.col("x._fp") < F.col("y._fp")) & (F.col("x.root") != F.col("y.root"))
-    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & apart).select(F.col("x._fp").alias("a"), F.col("y._fp").alias("b"))
-    return near.union(checked(pairs, marked, sketch, like))
-
-
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one row of each component: that of the least id, then text hash."""
-    marked = materialize(with_shingles(docs, [F.col(id_col).alias("_id"), row_key(id_col, text).alias("_key")], text, words), "shingles")
-    rows = materialize(marked.select("_id", "_key", "_fp"), "rows", narrow=True)
-    near = links(marked, similarity)
-    drop_files_of(marked)
-    found = connected_components(near, "a", "b")
-    fps = rows.select("_fp").distinct()
-    roots = fps.join(found.withColumnRenamed("node", "_fp"), "_fp", "left").select("_fp", F.coalesce("root", "_fp").alias("_root"))
-    return kept_rows(docs, rows, roots, id_col=id_col, text=text)

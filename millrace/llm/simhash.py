@@ -14,6 +14,19 @@ most C(64,1) + C(64,2) = 2,080 other values within two bits, links stay linear i
 number of distinct fingerprints, however large a group of copies is. Probe and check are
 one equi-join on (part, key), which Spark can spill and, when skewed, split.
 
+``keep_similar`` asks for texts whose sets of word shingles are alike to a Jaccard similarity.
+Two sets alike to s have fingerprints that differ in about arccos(2s / (1 + s)) / pi of
+their bits (15 % for 0.8), too many for 64 bits to tell apart from chance. So there the
+fingerprint is wide: as many parts as it takes for a pair at the least similarity to be
+within the threshold of one of them with probability ``RECALL``, each of as many bits as
+keep chance meetings rare among all texts. The dynamic program allots the thresholds, now
+of -1 (a part whose candidates are many is not searched), 0 or 1, under the same sum. A
+threshold of 1 is searched by a key for each bit of the part, without that bit. Every
+candidate is verified by the sets themselves, so that none below the similarity links.
+What is wanted are components, so within a key's sets each is first compared with the one
+that meets most others, and pairs are compared only where their sets are not yet in one
+component: a large group of near copies costs a comparison a set and not a pair.
+
 Defined results: a null text counts as empty; a text without words has fingerprint zero
 and links like any other; repeated rows each give a row, in one component; a null id is
 passed through and never a component's id, unless all its ids are null; an empty table
@@ -22,6 +35,8 @@ gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
@@ -31,15 +46,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_few_parts, materialize
+from .common import drop_files_of, in_few_parts, materialize, packed
 from .components import connected_components
+from .shingle_sets import CELLS, MORE_CELLS, SEED, checked, parity, shingle_set
 
-SEED = 42
 #: Fingerprints in the sample on which the plan of the search rests.
 PLAN_SAMPLE = 3000
 #: What a shuffled row costs, in candidate comparisons.
 ROW_COST = 20.0
 _CHUNK = 1 << 16
+#: The least share of pairs at the similarity asked for that a wide fingerprint finds.
+RECALL = 0.98
+#: Bits of a part beyond the logarithm of the number of sets.
+SPARE_BITS = 2
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -76,13 +95,13 @@ def with_fingerprint(docs: DataFrame, columns: list[Column], text: str = "text",
 
 
 def _parts(bits: np.ndarray, m: int) -> list[list[int]]:
-    """Deal the 64 bits into m parts of near-equal size, correlated bits together."""
+    """Deal the bits (columns) into m parts of near-equal size, correlated bits together."""
     centred = bits - bits.mean(axis=0)
     size = np.sqrt((centred**2).sum(axis=0))
     size[size == 0] = 1
     corr = np.abs((centred / size).T @ (centred / size))
     np.fill_diagonal(corr, 0)
-    left, parts = set(range(64)), []
+    left, parts = set(range(bits.shape[1])), []
     for k in range(m):
         want = len(left) // (m - k)
         start = max(left, key=lambda b: (corr[b, sorted(left)].max(), -b))
@@ -201,14 +220,155 @@ def kept_rows(docs: DataFrame, marked: DataFrame, roots: DataFrame, *, id_col: s
         .agg(F.min("k").alias("k"))
         .select(F.col("k._key").alias("_key"))
     )
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    here = docs.select(*own, row_key(id_col, text).alias("_millrace_key"))
-    kept = kept.select(F.col("_key").alias("_kept_key"))
-    few = here.join(kept, F.col("_millrace_key") == F.col("_kept_key"), "left_semi")
-    return few.dropDuplicates(["_millrace_key"]).select(*own)
+    here = docs.select(packed(docs).alias("_doc"), row_key(id_col, text).alias("_key"))
+    return here.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select("_doc.*")
+
+
+def wide_votes(shingles: np.ndarray, words: int) -> np.ndarray:
+    """A set's fingerprint of ``words`` 64-bit words: bitwise majorities of as many hashes of each shingle."""
+    if not len(shingles):
+        return np.zeros(words, dtype="<i8")
+    votes = np.zeros((words, 64), dtype=np.int64)
+    step = np.uint64(0x9E3779B97F4A7C15)
+    salts = np.arange(1, words + 1, dtype=np.uint64) * step
+    for at in range(0, len(shingles), 255):  # so that the sums below fit a byte
+        h = shingles[at : at + 255].view("<u8")[:, None] + salts
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+        h ^= h >> np.uint64(31)
+        bits = np.unpackbits(h.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little")
+        votes += np.add.reduce(bits, axis=0, dtype=np.uint8).reshape(words, 64)
+    return np.packbits(2 * votes > len(shingles), axis=1, bitorder="little").view("<i8").ravel()
+
+
+def with_shingles(docs: DataFrame, columns: list[Column], text: str, words: int, wide: int) -> DataFrame:
+    """``columns`` of ``docs``, ``_fp`` (its shingle set's hash), ``_n``, ``_wide``, two sketches and ``_shingles``."""
+    kept = docs.select(*columns, F.col(text).cast("string").alias("_body"))
+    longs = T.ArrayType(T.LongType())
+    more = [T.StructField("_fp", T.LongType()), T.StructField("_n", T.LongType()), *[T.StructField(n, longs) for n in ("_wide", "_parity", "_more_parity", "_shingles")]]
+
+    def run(batches):
+        for batch in batches:
+            at = batch.schema.get_field_index("_body")
+            sets = [shingle_set(x.as_py(), words) for x in batch.column(at)]
+            fps = pa.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], pa.uint64()).view(pa.int64())
+            ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*sets, np.zeros(0, dtype="<i8")]), pa.int64()))
+            made = [[wide_votes(s, wide) for s in sets], *[[parity(s, n) for s in sets] for n in (CELLS, MORE_CELLS)]]
+            names = [f.name for k, f in enumerate(batch.schema) if k != at]
+            columns = [batch.column(n) for n in names]
+            columns += [fps, pa.array(list(map(len, sets)), pa.int64()), *[pa.array(m, pa.list_(pa.int64())) for m in made], lists]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, *[f.name for f in more]])
+
+    return kept.mapInArrow(run, T.StructType([*kept.drop("_body").schema.fields, *more]))
+
+
+def wide_shape(total: int, similarity: float, recall: float = RECALL) -> tuple[int, int]:
+    """(parts, bits of each) that find pairs of the similarity among ``total`` sets."""
+    width = max(8, math.ceil(math.log2(max(2, total))) + SPARE_BITS)
+    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    meets = (1 - differ) ** width
+    return (1 if meets >= recall else math.ceil(math.log(1 - recall) / math.log(1 - meets))), width
+
+
+def plan_wide(sample: np.ndarray, total: int, parts: int, width: int) -> list[tuple[list[int], int]]:
+    """[(bits, threshold)] of the parts to search: correlated bits together, thresholds by dynamic program."""
+    bits = np.unpackbits(np.ascontiguousarray(sample).view(np.uint8).reshape(len(sample), -1), axis=1, bitorder="little")[:, : parts * width].astype(np.float32)
+    s, dealt = len(bits), []
+    for at in range(0, parts * width, 4 * width):  # by groups of a few parts
+        group = list(range(at, min(at + 4 * width, parts * width)))
+        dealt += [[group[b] for b in part] for part in _parts(bits[:, group], len(group) // width)]
+    table: dict[int, tuple[float, tuple[int, ...]]] = {0: (0.0, ())}  # sum of (threshold + 1) to cost, thresholds
+    for part in dealt:
+        x = bits[:, part]
+        apart = x.sum(axis=1)[:, None] + x.sum(axis=1)[None, :] - 2 * x @ x.T
+        cost = [0.0]
+        for t in (0, 1):
+            seen = ((apart < t + 0.5).sum() - s) / max(1, s * (s - 1))
+            cost.append(ROW_COST * total * (width if t else 1) + max(seen, _ball(width, t) / 2.0**width) * total * total / 2)
+        new: dict[int, tuple[float, tuple[int, ...]]] = {}
+        for have, (c, ts) in table.items():
+            for up, more in enumerate(cost):
+                if have + up <= parts and (have + up not in new or c + more < new[have + up][0]):
+                    new[have + up] = (c + more, (*ts, up - 1))
+        table = new
+    return [(part, t) for part, t in zip(dealt, table[parts][1], strict=True) if t >= 0]
+
+
+def wide_keys(marked: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame:
+    """``token`` and ``_fp``: the keys of each set's parts, for a threshold of 1 one without each bit."""
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column("_fp").to_numpy(zero_copy_only=False)
+            if not len(ids):
+                continue
+            words = batch.column("_wide").flatten().to_numpy(zero_copy_only=False).astype("<i8")
+            bits = np.unpackbits(words.view(np.uint8).reshape(len(ids), -1), axis=1, bitorder="little")
+            tokens, number = [], 0
+            for part, t in plan:
+                for without in part if t else [None]:
+                    some = bits[:, [b for b in part if b != without]]
+                    raw = np.zeros((len(ids), 8 * -(-some.shape[1] // 64)), dtype=np.uint8)
+                    key = np.packbits(some, axis=1, bitorder="little")
+                    raw[:, : key.shape[1]] = key
+                    h = np.full(len(ids), number, dtype=np.uint64)
+                    for word in raw.view("<u8").T:
+                        h = (h ^ word) * np.uint64(0x9E3779B97F4A7C15)
+                        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+                    tokens.append((h ^ (h >> np.uint64(32))).view("<i8"))
+                    number += 1
+            columns = [np.concatenate(tokens), np.tile(ids, len(tokens))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["token", "_fp"])
+
+    return marked.select("_fp", "_wide").mapInArrow(run, "token long, _fp long")
+
+
+def similar(marked: DataFrame, total: int, parts: int, width: int, similarity: float) -> DataFrame:
+    """Pairs ``a``, ``b`` of ``_fp`` that are alike enough, and join all sets that are found alike."""
+    like = Fraction(str(similarity))
+    sketch = materialize(marked.select("_fp", "_n", "_parity").dropDuplicates(["_fp"]), "sketch", narrow=True)
+    wide = marked.select("_fp", "_wide").dropDuplicates(["_fp"])
+    rows = marked.select("_fp", "_wide").orderBy(F.xxhash64("_fp"), "_fp").limit(PLAN_SAMPLE // 3).collect()
+    sample = np.array(sorted({tuple(r["_wide"]) for r in rows}) or [(0,) * (-(-parts * width // 64))], dtype="<i8")
+    # One exchange of the keys serves both sides of the join.
+    keys = wide_keys(wide, plan_wide(sample, total, parts, width)).repartition("token")
+    sizes = keys.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
+    shared = materialize(keys.join(sizes, "token"), "shared", narrow=True)
+    # The set that meets most others stands for a key's sets.
+    met = shared.groupBy("_fp").agg(F.sum("size").alias("met"))
+    heads = shared.join(met, "_fp").groupBy("token").agg(F.min(F.struct((-F.col("met")).alias("met"), "_fp")).alias("head")).select("token", F.col("head._fp").alias("head"))
+    shared = materialize(shared.select("token", "_fp").join(heads, "token"), "headed", narrow=True)
+    order = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    near = checked(shared.where("_fp <> head").select(*order("head", "_fp")), marked, sketch, like)
+    root = connected_components(near, "a", "b").withColumnRenamed("node", "_fp")
+    rooted = materialize(shared.join(root, "_fp", "left").withColumn("root", F.coalesce("root", "_fp")), "rooted", narrow=True)
+    drop_files_of(shared)
+    mixed = rooted.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("token")
+    # The head has met all others there.
+    open_ = materialize(rooted.where("_fp <> head").join(mixed, "token", "left_semi"), "open", narrow=True)
+    x, y = open_.alias("x"), open_.alias("y")
+    apart = (F.col("x._fp") < F.col("y._fp")) & (F.col("x.root") != F.col("y.root"))
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & apart).select(F.col("x._fp").alias("a"), F.col("y._fp").alias("b"))
+    return near.union(checked(pairs, marked, sketch, like))
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", radius: int = 2, words: int = 3) -> DataFrame:
-    """``docs`` with one row of each component: that of the least id, then text hash."""
+    """``docs`` with one row of each component by ``radius``: that of the least id, then text hash."""
     marked = materialize(with_fingerprint(docs, [F.col(id_col).alias("_id"), row_key(id_col, text).alias("_key")], text, words), "simhash")
     return kept_rows(docs, marked, groups(marked, radius), id_col=id_col, text=text)
+
+
+def keep_similar(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = RECALL) -> DataFrame:
+    """``docs`` with one row of each component of texts alike to ``similarity``: that of the least id, then text hash."""
+    if not 0 < similarity <= 1 or not 0 < recall < 1:
+        raise ValueError("similarity must be above 0 and at most 1, recall between both")
+    total = docs.count()
+    parts, width = wide_shape(total, similarity, recall)
+    keys = [F.col(id_col).alias("_id"), row_key(id_col, text).alias("_key")]
+    marked = materialize(with_shingles(docs, keys, text, words, -(-parts * width // 64)), "shingles")
+    rows = materialize(marked.select("_id", "_key", "_fp"), "rows", narrow=True)
+    found = connected_components(similar(marked, total, parts, width, similarity), "a", "b")
+    drop_files_of(marked)
+    roots = rows.select("_fp").distinct().join(found.withColumnRenamed("node", "_fp"), "_fp", "left").select("_fp", F.coalesce("root", "_fp").alias("_root"))
+    return kept_rows(docs, rows, roots, id_col=id_col, text=text)

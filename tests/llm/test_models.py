@@ -29,7 +29,7 @@ def test_chain_finds_held_out_toxic_texts(spark):
     wrong = [k for k, _, y in rows if k >= 800 and got[k] != bool(y)]
     assert len(got) == 1200 and not wrong
     new = spark.createDataFrame([(1, "a vadroli stone"), (2, "a quiet stone")], "doc_id long, text string")
-    chain = toxicity.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), toxicity.seeded())
+    chain = toxicity.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
     assert [r["p_toxic"] >= 0.5 for r in toxicity.with_toxicity(new, chain).orderBy("doc_id").collect()] == [True, False]
 
 

@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from millrace.llm import near_copies
+from millrace.llm import shingle_sets, simhash
 
 from .test_near_duplicates import Union
 
@@ -47,8 +47,7 @@ def test_planted(spark, sf_dir, monkeypatch):
     rng.shuffle(texts)
     rows = list(enumerate(texts))
     assert len(check(spark, sf_dir, rows)) < len({t for _, t in rows}) - 20
-    monkeypatch.setattr(near_copies, "MOST_COMMON", 1)
-    monkeypatch.setattr(near_copies, "FEW_SETS", 0)
+    monkeypatch.setattr(shingle_sets, "FEW_SETS", 0)
     check(spark, sf_dir, rows)
 
 

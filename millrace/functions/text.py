@@ -54,6 +54,11 @@ def strip(text: Column | str) -> Column:
     return F.regexp_replace(col(text), F.lit(_STRIP), F.lit(""))
 
 
+def is_blank(text: Column | str) -> Column:
+    """Null, empty or white space alone; the search ends at the first other letter."""
+    return ~F.coalesce(col(text).rlike(rf"(?U)[^{_SPACE[1:]}"), F.lit(False))
+
+
 def words(text: Column | str) -> Column:
     """Words between white space."""
     return F.filter(F.split(col(text), rf"(?U){_SPACE}+"), lambda w: w != "")

@@ -8,39 +8,46 @@ top 8 bits; a document is compared with the kept ones before it in its bucket.
 from __future__ import annotations
 
 import functools
+import hashlib
 import math
+import re
+import unicodedata
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import text as tx
 from ..plans.storage import drop_files_of, materialize
 
 
-def simhash(docs: DataFrame, *, key: str = "pos", text: str = "text", target: str = "simhash") -> DataFrame:
-    """``docs`` with the fingerprint of each text: majority bits of the low md5 halves of
-    its three-word shingles, repeats included; 0 without words.
+_SIGNS = re.compile(r"[^\w\s]+")
 
-    Tokens are exploded by position and shingles read by ``lead``, so the array is built
-    once; votes are summed before the exchange.
-    """
-    # The split stands behind a generator, so that it is not built again for its size.
-    split = docs.select(F.col(key).alias("_k"), F.explode(F.array(F.split(tx.normalize_for_similarity(text), " +"))).alias("_w"))
-    each = split.select("_k", F.size("_w").alias("_n"), F.posexplode("_w").alias("_i", "_t")).where("_t <> ''")
-    order = Window.partitionBy("_k").orderBy("_i")
-    gram = F.concat_ws(" ", "_t", F.lead("_t", 1).over(order), F.lead("_t", 2).over(order))
-    grams = each.withColumn("_g", gram).where(F.col("_i") < F.greatest(F.lit(1), F.col("_n") - 2))
-    hashed = grams.select("_k", F.conv(F.substring(F.md5("_g"), 17, 16), 16, -10).cast("bigint").alias("_h"))
-    votes = [F.sum(F.getbit("_h", F.lit(b)).cast("bigint")).alias(f"_b{b}") for b in range(64)]
-    counted = hashed.groupBy("_k").agg(F.count("*").alias("_all"), *votes)
-    bits = None
-    for b in range(64):
-        weight = (1 << b) - (1 << 64) if b == 63 else 1 << b
-        bit = F.when(F.col(f"_b{b}") * 2 > F.col("_all"), F.lit(weight)).otherwise(F.lit(0).cast("bigint"))
-        bits = bit if bits is None else bits.bitwiseOR(bit)
-    prints = counted.select(F.col("_k").alias(key), bits.alias(target))
-    return docs.join(prints, key, "left").withColumn(target, F.coalesce(target, F.lit(0).cast("bigint")))
+
+def fingerprint(text: str | None) -> int:
+    """Bitwise majority of the low md5 halves of a text's three-word shingles, repeats
+    included; words are NFKC, lower case, without signs; 0 without words."""
+    w = _SIGNS.sub("", unicodedata.normalize("NFKC", text or "").lower()).split()
+    if not w:
+        return 0
+    grams = map(" ".join, zip(w, w[1:], w[2:], strict=False)) if len(w) > 2 else [" ".join(w)]
+    low = b"".join([hashlib.md5(g.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()[8:] for g in grams])
+    bits = np.unpackbits(np.frombuffer(low, dtype=np.uint8).reshape(-1, 8), axis=1)
+    return int(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(bits)).view(">i8")[0])
+
+
+def simhash(docs: DataFrame, *, text: str = "text", target: str = "simhash") -> DataFrame:
+    """``docs`` with the fingerprint of each text. Nothing is shuffled: a text's votes are
+    counted where it is read."""
+
+    @F.pandas_udf("bigint")
+    def prints(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            yield part.map(fingerprint).astype("int64")
+
+    return docs.withColumn(target, prints(F.col(text).cast("string")))
 
 
 def mark_exact(docs: DataFrame, *, content: str = "content_hash", pos: str = "pos") -> DataFrame:
@@ -57,17 +64,21 @@ def mark_exact(docs: DataFrame, *, content: str = "content_hash", pos: str = "po
 def near_links(fps: DataFrame, max_distance: int) -> DataFrame:
     """Pairs (``early``, ``late``) of positions in one bucket within ``max_distance``.
 
-    ``fps`` has distinct ``_fp`` and their first ``_pos``. Of ``max_distance + 1`` parts
-    of the 56 bits below the bucket, a pair has one part in common: an equi-join on
-    (bucket, part), which Spark can spill and split, finds all pairs.
+    ``fps`` has distinct ``_fp`` and their first ``_pos``. The 56 bits below the bucket
+    are dealt into m parts with thresholds of 1 or 0 that sum to ``max_distance - m + 1``:
+    a pair is within the threshold in one part at least. A threshold of 1 takes a key for
+    each bit of the part, without that bit. So an equi-join on (bucket, part), which Spark
+    can spill and split, finds all pairs.
     """
-    parts, size = max_distance + 1, 56 // (max_distance + 1)
+    parts = max_distance // 2 + 1
+    ones, cuts = max_distance - parts + 1, [56 * k // parts for k in range(parts + 1)]
     keys = []
     for k in range(parts):
-        low, high = k * size, 56 if k == parts - 1 else (k + 1) * size
-        mask = ((1 << high) - 1) ^ ((1 << low) - 1) | 0xFF << 56
-        signed = mask - (1 << 64) if mask >> 63 else mask
-        keys.append(F.struct(F.lit(k).alias("part"), F.col("_fp").bitwiseAND(F.lit(signed)).alias("key")))
+        mask = ((1 << cuts[k + 1]) - 1) ^ ((1 << cuts[k]) - 1) | 0xFF << 56
+        for without in range(cuts[k], cuts[k + 1]) if k < ones else [None]:
+            m = mask if without is None else mask ^ (1 << without)
+            signed = m - (1 << 64) if m >> 63 else m
+            keys.append(F.struct(F.lit(len(keys)).alias("part"), F.col("_fp").bitwiseAND(F.lit(signed)).alias("key")))
     each = fps.select("_fp", "_pos", F.explode(F.array(*keys)).alias("s")).select("_fp", "_pos", "s.*")
     a, b = each.alias("a"), each.alias("b")
     near = (F.col("a._pos") < F.col("b._pos")) & (tx.hamming_distance(F.col("a._fp"), F.col("b._fp")) <= max_distance)
@@ -119,7 +130,7 @@ def deduplicate(docs: DataFrame, *, threshold: float = 0.92, pos: str = "pos", c
     """All rows with ``dedup_status`` (kept, exact, near) and ``out_pos``, the order after it."""
     exact = materialize(mark_exact(docs.select(pos, content), content=content, pos=pos).select(pos, "is_exact_duplicate"), "exact", narrow=True)
     left = docs.select(pos, text).join(exact.where("not is_exact_duplicate"), pos, "left_semi")
-    prints = materialize(simhash(left, key=pos, text=text).select(pos, "simhash"), "simhash", narrow=True)
+    prints = materialize(simhash(left, text=text).select(pos, "simhash"), "simhash")
     status = mark_near(prints, pos=pos, threshold=threshold)
     joined = docs.join(exact, pos).join(status, pos, "left")
     return joined.withColumn(

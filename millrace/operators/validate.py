@@ -21,10 +21,6 @@ class ValidationError(ValueError):
     """An invalid example was met in strict mode."""
 
 
-def _blank(name: str):
-    return F.col(name).isNull() | (tx.strip(name) == "")
-
-
 def validate(examples: DataFrame, *, pos: str = "pos", strict: bool = False) -> DataFrame:
     """``examples`` with ``issues``: array<struct<issue_type, detail>>, empty if valid.
 
@@ -32,8 +28,8 @@ def validate(examples: DataFrame, *, pos: str = "pos", strict: bool = False) ->
     an id is a partial aggregate joined back, so that a common id is not gathered.
     """
     issue = lambda kind, detail: F.struct(F.lit(kind).alias("issue_type"), detail.alias("detail"))
-    checks = [(_blank(n), issue("missing_field", F.lit(n))) for n in REQUIRED]
-    checks.append((F.coalesce(tx.strip("output"), F.lit("")) == "", issue("empty_output", F.lit("output field is empty"))))
+    checks = [(tx.is_blank(n), issue("missing_field", F.lit(n))) for n in REQUIRED]
+    checks.append((tx.is_blank("output"), issue("empty_output", F.lit("output field is empty"))))
     late = [
         (~F.coalesce(F.col("category"), F.lit("")).isin(*CATEGORIES), issue("invalid_category", F.coalesce(F.col("category"), F.lit("")))),
         (~F.coalesce(F.col("difficulty"), F.lit("")).isin(*DIFFICULTIES), issue("invalid_difficulty", F.coalesce(F.col("difficulty"), F.lit("")))),

@@ -221,7 +221,7 @@ def s_simhash(source: str) -> str:
 
 @query(f"SELECT k AS doc_id, fp AS simhash FROM ({s_simhash('SELECT doc_id AS k, text FROM documents')})")
 def hsh04_simhash(spark, d):
-    return dedup.simhash(spread_documents(spark, d), key="doc_id").select("doc_id", "simhash")
+    return dedup.simhash(spread_documents(spark, d)).select("doc_id", "simhash")
 
 
 HALF = "SELECT doc_id AS k, left(text, (length(text) // 2)::INTEGER) AS text FROM documents"
@@ -233,10 +233,9 @@ HALF = "SELECT doc_id AS k, left(text, (length(text) // 2)::INTEGER) AS text FRO
 )
 def hsh05_06_distance(spark, d):
     """Each text against its first half."""
-    docs = documents(spark, d).select("doc_id", "text")
-    half = docs.withColumn("text", F.left("text", F.floor(F.length("text") / 2).cast("int")))
-    a, b = dedup.simhash(docs, key="doc_id").select("doc_id", F.col("simhash").alias("a")), dedup.simhash(half, key="doc_id").select("doc_id", F.col("simhash").alias("b"))
-    return a.join(b, "doc_id").select("doc_id", tx.hamming_distance(F.col("a"), F.col("b")).cast("int").alias("distance"), tx.simhash_similarity(F.col("a"), F.col("b")).alias("similarity"))
+    docs = spread_documents(spark, d).select("doc_id", "text", F.left("text", F.floor(F.length("text") / 2).cast("int")).alias("half"))
+    both = dedup.simhash(dedup.simhash(docs, target="a"), text="half", target="b")
+    return both.select("doc_id", tx.hamming_distance(F.col("a"), F.col("b")).cast("int").alias("distance"), tx.simhash_similarity(F.col("a"), F.col("b")).alias("similarity"))
 
 
 S_TURNS = "SELECT u.conv_id, u.turn, u.text AS instruction, CASE WHEN u.turn % 2 = 0 THEN '' ELSE u.role END AS input, a.text AS output FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1"
@@ -436,10 +435,21 @@ def ded01_exact(spark, d):
     return dedup.mark_exact(rows).select("pos", "is_exact_duplicate")
 
 
-@query()
+_NEAR = "len(list_filter(kept, lambda x: (x >> 56) = p.b AND bit_count(xor(x, p.fp)) <= 5)) > 0"
+
+
+@query(
+    f"""WITH RECURSIVE e AS MATERIALIZED (SELECT doc_id AS k, text, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) > 1 AS ex FROM documents),
+ p AS MATERIALIZED (SELECT row_number() OVER (ORDER BY k) AS i, k, fp, fp >> 56 AS b FROM ({s_simhash('SELECT k, text FROM e WHERE NOT ex')})),
+ g AS (SELECT 0::BIGINT AS i, 0::BIGINT AS k, []::BIGINT[] AS kept, false AS near UNION ALL
+   SELECT p.i, p.k, CASE WHEN {_NEAR} THEN kept ELSE list_append(kept, p.fp) END, {_NEAR} FROM g JOIN p ON p.i = g.i + 1)
+ SELECT e.k AS pos, CASE WHEN ex THEN 'exact' WHEN near THEN 'near' ELSE 'kept' END AS dedup_status, coalesce(p.fp, 0)::BIGINT AS simhash, coalesce(h.pos, -1)::BIGINT AS bucket_pos
+ FROM e LEFT JOIN p ON p.k = e.k LEFT JOIN (SELECT k, near FROM g WHERE i > 0) n ON n.k = e.k LEFT JOIN (SELECT b, min(k) AS pos FROM p GROUP BY b) h ON h.b = p.b"""
+)
 def ded02_03_near(spark, d):
     rows = spread_documents(spark, d).select(F.col("doc_id").alias("pos"), "text").withColumn("content_hash", tx.stable_hash("text"))
-    return dedup.deduplicate(rows).select("pos", "dedup_status", "simhash", "bucket_pos")
+    # Exact copies have no fingerprint and no bucket.
+    return dedup.deduplicate(rows).select("pos", "dedup_status", F.coalesce("simhash", F.lit(0)).alias("simhash"), F.coalesce("bucket_pos", F.lit(-1)).alias("bucket_pos"))
 
 
 @query(
@@ -448,7 +458,7 @@ def ded02_03_near(spark, d):
 )
 def jon03_near_pairs(spark, d):
     """Linked pairs of distinct fingerprints within a bucket."""
-    prints = dedup.simhash(documents(spark, d).select("doc_id", "text"), key="doc_id")
+    prints = dedup.simhash(spread_documents(spark, d).select("doc_id", "text"))
     firsts = prints.groupBy(F.col("simhash").alias("_fp")).agg(F.min("doc_id").alias("_pos"))
     pairs = dedup.near_links(firsts, 5)
     a, b = firsts.select(F.col("_pos").alias("early"), F.col("_fp").alias("a")), firsts.select(F.col("_pos").alias("late"), F.col("_fp").alias("b"))
@@ -701,18 +711,29 @@ def src10_flt04_pages_fallback(spark, d):
     return html.page_documents(table(spark, d, "pages"), parser=False).select("url", "document_id", "text")
 
 
-@query()
+def s_main(x: str) -> str:
+    """Text of the article of pages that have one and no main element: for the tables' pages."""
+    out = f"regexp_replace(regexp_extract({x}, '(?s)<article[^>]*>(.*?)(?:</article>|$)', 1), '<!--.*?-->', '<br>', 'gs')"
+    for tag in sorted(html.DROPPED):
+        out = f"regexp_replace({out}, '<{tag}(?:\\s[^>]*)?>.*?</{tag}>', '<br>', 'gs')"
+    out = f"regexp_replace({out}, '(?:<[^>]+>)+', {NLS}, 'g')"
+    for entity, by in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&#39;", "''"), ("&amp;", "&")):
+        out = f"replace({out}, '{entity}', '{by}')"
+    return s_space(out)
+
+
+@query(f"SELECT url, 'documentation_' || left(sha256(url), 12) AS document_id, text FROM (SELECT url, {s_main('html')} AS text FROM pages) WHERE length(text) >= 20")
 def html01_main_content(spark, d):
     return html.page_documents(table(spark, d, "pages")).select("url", "document_id", "text")
 
 
-@query()
+@query(f"SELECT url, 'blog_' || left(sha256(url), 12) AS document_id, 'someone' AS author, text FROM (SELECT url, {s_main('html')} AS text FROM pages) WHERE length(text) >= 20")
 def src11_blog_posts(spark, d):
     return html.page_documents(table(spark, d, "pages"), kind="blog", author="someone").select("url", "document_id", "author", "text")
 
 
 @query(
-    "SELECT 'huggingface_' || left(sha256('org/set_' || doc_id), 12) AS document_id, text, 'org/set' AS repository, 'train' AS version FROM documents WHERE doc_id < 2000 AND trim(text) <> ''"
+    "SELECT 'huggingface_' || left(sha256('org/set_' || doc_id), 12) AS document_id, text, 'org/set' AS repository, 'train' AS version FROM documents WHERE trim(text) <> ''"
 )
 def src12_dataset_rows(spark, d):
     rows = files.dataset_rows(documents(spark, d).select("doc_id", "text"), repo_id="org/set", index="doc_id", max_examples=None)
@@ -740,7 +761,15 @@ def src15_arxiv_id(spark, d):
     return _papers(spark, d).select("doc_id", files.arxiv_id("identifier").alias("arxiv_id"))
 
 
-@query()
+_S_REST = s_strip("substr(text, 301)")
+
+
+@query(
+    f"""WITH p AS (SELECT doc_id, text, CASE doc_id % 3 WHEN 0 THEN '2305.' || lpad((doc_id % 100000)::VARCHAR, 5, '0') || 'v2' ELSE '2005.' || lpad((doc_id % 10000)::VARCHAR, 4, '0') END AS arxiv FROM documents WHERE doc_id % 3 <> 2),
+ q AS (SELECT *, {_S_REST} AS intro FROM p)
+ SELECT 'paper_' || left(sha256(arxiv), 12) AS document_id, 'A, B' AS author, arxiv AS version, 'abstract,' || CASE WHEN intro <> '' THEN 'introduction,' ELSE '' END || 'results' AS sections_found,
+ {s_space("'# Paper ' || doc_id || chr(10) || chr(10) || '## Abstract' || chr(10) || left(text, 100) || chr(10) || chr(10) || '## Abstract' || chr(10) || 'again' || CASE WHEN intro <> '' THEN chr(10) || chr(10) || '## Introduction' || chr(10) || intro ELSE '' END || chr(10) || chr(10) || '## Results' || chr(10) || 'won'")} AS text FROM q"""
+)
 def src14_18_papers(spark, d):
     return files.paper_documents(_papers(spark, d), section_chars=None).select("document_id", "text", "author", "version", F.col("extra")["sections_found"].alias("sections_found"))
 

@@ -322,12 +322,6 @@ def cln06_clean_plain(spark, d):
     return clean.clean(spread_documents(spark, d)).select("doc_id", "text")
 
 
-@query()
-def cod01_extract(spark, d):
-    rows = md(spark, d).select("pos", F.explode(F.array(code.code_blocks("text"))).alias("b")).select("pos", F.posexplode("b").alias("place", "b"))
-    return rows.select("pos", "place", "b.*")
-
-
 def s_guess(x: str) -> str:
     marks = (
         ("python", "(?m)^\\s*(def |class |import |from .+ import)"), ("javascript", "(?m)^\\s*(function |const |let |var |=>)"),
@@ -341,6 +335,20 @@ S_BLOCKS = f""", b AS (SELECT pos, unnest(range(1, len(c) + 1)) AS i, t, c FROM
  n AS (SELECT pos, i, CASE WHEN t[i] = '' THEN {s_guess('c[i]')} ELSE lower(t[i]) END AS language FROM b WHERE c[i] <> '')"""
 
 
+S_PLACED = f"""{MD}, b AS (SELECT pos, text, regexp_extract_all(text, {FENCE}, 0, 's') AS h, regexp_extract_all(text, {FENCE}, 1, 's') AS t, {s_codes('text')} AS c, string_split_regex(text, {FENCE}, 's') AS g FROM md),
+ u AS (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM b),
+ w AS (SELECT *, (list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(h[1:(i - 1)], lambda x: length(x))), 0))::BIGINT AS start FROM u WHERE c[i] <> '')
+ SELECT pos, (row_number() OVER (PARTITION BY pos ORDER BY i) - 1)::INTEGER AS place, CASE WHEN t[i] = '' THEN {s_guess('c[i]')} ELSE lower(t[i]) END AS language, c[i] AS code,
+ {s_strip(f"substr(text, greatest(1, start - {code.CONTEXT_CHARS} + 1), least({code.CONTEXT_CHARS}, start))")} AS surrounding_context,
+ (1 + length(left(text, start)) - length(replace(left(text, start), {NLS}, '')))::INTEGER AS line_start FROM w"""
+
+
+@query(S_PLACED)
+def cod01_extract(spark, d):
+    rows = md(spark, d).select("pos", F.explode(F.array(code.code_blocks("text"))).alias("b")).select("pos", F.posexplode("b").alias("place", "b"))
+    return rows.select("pos", "place", "b.*")
+
+
 @query(f"{MD}{S_BLOCKS} SELECT pos, language, count(*)::BIGINT AS n FROM n GROUP BY pos, language")
 def cod02_guess_language(spark, d):
     rows = md(spark, d).select("pos", F.explode(F.array(code.code_blocks("text"))).alias("b")).select("pos", F.explode("b").alias("b"))

@@ -25,7 +25,9 @@ threshold of 1 is searched by a key for each bit of the part, without that bit.
 candidate is verified by the sets themselves, so that none below the similarity links.
 What is wanted are components, so within a key's sets each is first compared with the one
 that meets most others, and pairs are compared only where their sets are not yet in one
-component: a large group of near copies costs a comparison a set and not a pair.
+component: a large group of near copies costs a comparison a set and not a pair. Those
+pairs are held to their sizes, 512 bits of the fingerprint and a parity bound in the join
+itself.
 
 Defined results: a null text counts as empty; a text without words has fingerprint zero
 and links like any other; repeated rows each give a row, in one component; a null id is
@@ -59,6 +61,8 @@ _CHUNK = 1 << 16
 RECALL = 0.98
 #: Bits of a part beyond the logarithm of the number of sets.
 SPARE_BITS = 2
+#: Words of the wide fingerprint by which pairs are compared where they meet.
+COMPARED_WORDS = 8
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -312,7 +316,8 @@ def wide_keys(marked: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame
                     raw = np.zeros((len(ids), 8 * -(-some.shape[1] // 64)), dtype=np.uint8)
                     key = np.packbits(some, axis=1, bitorder="little")
                     raw[:, : key.shape[1]] = key
-                    h = np.full(len(ids), number, dtype=np.uint64)
+                    h = np.full(len(ids), (number + 1) << 48, dtype=np.uint64)  # apart from all words' low bits
+                    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
                     for word in raw.view("<u8").T:
                         h = (h ^ word) * np.uint64(0x9E3779B97F4A7C15)
                         h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -345,14 +350,31 @@ def similar(marked: DataFrame, total: int, parts: int, width: int, similarity: f
     rooted = materialize(shared.join(root, "_fp", "left").withColumn("root", F.coalesce("root", "_fp")), "rooted", narrow=True)
     drop_files_of(shared)
     mixed = rooted.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("token")
-    # The head has met all others there.
-    open_ = materialize(rooted.where("_fp <> head").join(mixed, "token", "left_semi"), "open", narrow=True)
+    # The head has met all others there. Pairs are held to sizes and fingerprints where they
+    # meet, so that none is written of the many that share a passage and little else.
+    words, cells = min(COMPARED_WORDS, -(-parts * width // 64)), CELLS // 64
+    bits = [F.element_at("_wide", k + 1).alias(f"w{k}") for k in range(words)]
+    odd = [F.element_at("_parity", k + 1).alias(f"p{k}") for k in range(cells)]
+    known = marked.select("_fp", F.col("_n").alias("n"), *bits, *odd).dropDuplicates(["_fp"])
+    open_ = materialize(rooted.where("_fp <> head").join(mixed, "token", "left_semi").select("token", "_fp", "root").join(known, "_fp"), "open")
+    drop_files_of(rooted)
     x, y = open_.alias("x"), open_.alias("y")
-    apart = (F.col("x._fp") < F.col("y._fp")) & (F.col("x.root") != F.col("y.root"))
-    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & apart).select(F.col("x._fp").alias("a"), F.col("y._fp").alias("b"))
+    p, q = like.numerator, like.denominator
+    differ = lambda name, n: sum(F.bit_count(F.col(f"x.{name}{k}").bitwiseXOR(F.col(f"y.{name}{k}"))) for k in range(n))
+    meet = (F.col("x.token") == F.col("y.token")) & (F.col("x._fp") < F.col("y._fp")) & (F.col("x.root") != F.col("y.root"))
+    sizes = F.least("x.n", "y.n") * q >= F.greatest("x.n", "y.n") * p
+    # As in ``may_link``: no pair alike enough has more odd cells than this.
+    close = (differ("w", words) <= most_differing(64 * words, similarity)) & (differ("p", cells) * (q + p) <= (F.col("x.n") + F.col("y.n")) * (q - p))
+    pairs = x.join(y, meet & sizes & close).select(F.col("x._fp").alias("a"), F.col("y._fp").alias("b"))
     return near.union(checked(pairs, marked, sketch, like))
 
 
+def most_differing(bits: int, similarity: float) -> int:
+    """Differing bits that a pair at the similarity exceeds by a chance of some thousandths of a percent."""
+    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(bits * differ + 4 * math.sqrt(bits * differ * (1 - differ)))
+
+
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", radius: int = 2, words: int = 3) -> DataFrame:
     """``docs`` with one row of each component by ``radius``: that of the least id, then text hash."""
     marked = materialize(with_fingerprint(docs, [F.col(id_col).alias("_id"), row_key(id_col, text).alias("_key")], text, words), "simhash")

@@ -8,6 +8,7 @@ place, and each document keeps its first valid ones.
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import Formatter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,25 @@ REASONING = ("because", "trade-off", "tradeoff", "advantage", "disadvantage", "h
 VERSUS = r"(?iu)(?U)\b([A-Z][\w\.\-]{1,30})\s+(?:vs\.?|versus|compared to)\s+([A-Z][\w\.\-]{1,30})"
 
 
+#: What each template asks.
+SENTENCES = {
+    "qa": "What is {title} and how is it used in the context of {context}?",
+    "instruction_following": "Explain {title} in the context of {context}, including key concepts and practical considerations.",
+    "code_generation": "Write {language} code that demonstrates {title} ({context}).",
+    "architecture_explanation": "Describe the architectural design and component interactions involved in {title}.",
+    "debugging": "A developer working with {title} ({context}) is encountering issues. Explain likely causes and how to resolve them.",
+    "reasoning": "What are the key trade-offs and reasoning behind design decisions related to {title}?",
+    "comparison": "Compare {first} and {second} in the context of {context}, covering their key differences and appropriate use cases.",
+}
+
+
+def asked(template: str, chunk: Chunk, **more: Column) -> Column:
+    """The template's sentence with the chunk's title and context, and ``more``, put in."""
+    known = {"title": chunk.title, "context": chunk.context} | more
+    parts = [x for before, name, *_ in Formatter().parse(SENTENCES[template]) for x in ([F.lit(before)] if before else []) + ([known[name]] if name else [])]
+    return F.concat(*parts)
+
+
 def _has(text: Column, words: tuple[str, ...]) -> Column:
     return text.rlike("|".join(words))
 
@@ -52,14 +72,13 @@ def _one(when: Column, name: str, instruction: Column, output: Column, level: Co
 
 
 def qa(c: Chunk) -> Column:
-    asked = F.when(c.title.endswith("?"), c.title).otherwise(F.concat(c.title, F.lit("?")))
-    other = F.concat(F.lit("What is "), c.title, F.lit(" and how is it used in the context of "), c.context, F.lit("?"))
-    question = F.when(_has(F.lower(c.title), QUESTION_HINTS), asked).otherwise(other)
+    own = F.when(c.title.endswith("?"), c.title).otherwise(F.concat(c.title, F.lit("?")))
+    question = F.when(_has(F.lower(c.title), QUESTION_HINTS), own).otherwise(asked("qa", c))
     return _one((F.size(c.path) > 0) & (F.length(c.body) >= 40), "qa", question, c.body, c.difficulty)
 
 
 def instruction_following(c: Chunk) -> Column:
-    ask = F.concat(F.lit("Explain "), c.title, F.lit(" in the context of "), c.context, F.lit(", including key concepts and practical considerations."))
+    ask = asked("instruction_following", c)
     return _one(F.length(c.body) >= 60, "instruction_following", ask, c.body, c.difficulty)
 
 
@@ -69,7 +88,7 @@ def code_generation(c: Chunk) -> Column:
     return F.transform(
         fit,
         lambda b: F.struct(
-            F.concat(F.lit("Write "), b["language"], F.lit(" code that demonstrates "), c.title, F.lit(" ("), c.context, F.lit(").")).alias("instruction"),
+            asked("code_generation", c, language=b["language"]).alias("instruction"),
             given.alias("input"),
             F.concat(F.lit("```"), b["language"], F.lit("\n"), b["code"], F.lit("\n```")).alias("output"),
             c.difficulty.alias("difficulty"),
@@ -80,23 +99,23 @@ def code_generation(c: Chunk) -> Column:
 
 def architecture_explanation(c: Chunk) -> Column:
     both = F.lower(F.concat(c.text, F.array_join(c.path, " ")))
-    ask = F.concat(F.lit("Describe the architectural design and component interactions involved in "), c.title, F.lit("."))
+    ask = asked("architecture_explanation", c)
     return _one(_has(both, ARCHITECTURE) & (F.length(c.body) >= 80), "architecture_explanation", ask, c.body, F.lit("advanced"))
 
 
 def debugging(c: Chunk) -> Column:
-    ask = F.concat(F.lit("A developer working with "), c.title, F.lit(" ("), c.context, F.lit(") is encountering issues. Explain likely causes and how to resolve them."))
+    ask = asked("debugging", c)
     return _one(_has(c.lower, DEBUG) & (F.length(c.body) >= 60), "debugging", ask, c.body, F.lit("advanced"))
 
 
 def reasoning(c: Chunk) -> Column:
-    ask = F.concat(F.lit("What are the key trade-offs and reasoning behind design decisions related to "), c.title, F.lit("?"))
+    ask = asked("reasoning", c)
     return _one(_has(c.lower, REASONING) & (F.length(c.body) >= 80), "reasoning", ask, c.body, F.lit("advanced"))
 
 
 def comparison(c: Chunk) -> Column:
     a, b = (F.regexp_extract(c.text, VERSUS, k) for k in (1, 2))
-    ask = F.concat(F.lit("Compare "), a, F.lit(" and "), b, F.lit(" in the context of "), c.context, F.lit(", covering their key differences and appropriate use cases."))
+    ask = asked("comparison", c, first=a, second=b)
     return _one(c.text.rlike(VERSUS) & (F.length(c.body) >= 60), "comparison", ask, c.body, F.lit("advanced"))
 
 

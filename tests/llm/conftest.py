@@ -8,7 +8,12 @@ def shipped(spark):
     ship(spark)
 
 
-COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, _row long, _fp long, spans string, _id long, _text string, score double"
+#: Names that the operators use themselves, in whatever case, as columns of the input.
+CLASHES = (
+    "_id _key _fp _n _wide _parity _more_parity _shingles _body _doc _p _p_toxic _scored _scored_ _predicted lang_pred p_toxic p_kind_1 _host _path _h _q _good _prior "
+    "_spans _changed _new _Text _owner _repository _hits _row _root _millrace_key token root k _y0 _size toxic quality good ids start length _BOUND spans score"
+).split()
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` long" for c in CLASHES)
 LONG = ("der lange Satz und the long one with words " * 3000) + "password=abcdef0123456789abc"
 MESSY = [
     (7, "the cat sat on the mat and the dog sat on the rug", "en", "a"),
@@ -29,7 +34,7 @@ MESSY = [
 @pytest.fixture(scope="session")
 def messy(spark):
     """Nulls, empty and long texts, ties, repeated rows and clashing columns."""
-    rows = [(i, t, g, s, len(t or ""), 1, 2, "x", 3, "y", 0.5) for i, t, g, s in MESSY]
+    rows = [(i, t, g, s, len(t or ""), *range(len(CLASHES))) for i, t, g, s in MESSY]
     return spark.createDataFrame(rows, COLUMNS).repartition(3)
 
 

@@ -64,6 +64,78 @@ def test_quality_on_labels(documents, labels, spark):
     assert kept.count() == quality.quality(documents, labels).where("good").count()
 
 
+def test_final_probabilities_match_plain_python(documents, labels):
+    """Global share, strengths, posteriors and the final probability, from the texts' own evidence."""
+    rows = quality.quality(documents, labels).join(documents.select("doc_id", "source", "lang"), "doc_id").collect()
+    edge = lambda p: min(max(p, 1e-4), 1 - 1e-4)
+    logit = lambda p: np.log(edge(p) / (1 - edge(p)))
+    sums = lambda key: {k: (sum(key(r) == k for r in rows), sum(r["p_text"] for r in rows if key(r) == k)) for k in {key(r) for r in rows}}
+    hosts, paths = sums(lambda r: r["source"]), sums(lambda r: (r["source"], r["lang"]))
+    share = edge(sum(r["p_text"] for r in rows) / len(rows))
+
+    def strength(groups):  # (n, good, prior) of each
+        n = sum(g[0] for g in groups)
+        between, within = (sum(f(*g) for g in groups) / n for f in (lambda m, s, a: m * (s / m - a) ** 2, lambda m, s, a: m * a * (1 - a)))
+        spread = between - within * len(groups) / n
+        return float(np.clip(within / spread - 1, 1.0, 1e6)) if spread > 1e-9 else 1e6
+
+    over = strength([(n, s, share) for n, s in hosts.values()])
+    prior = {h: (over * share + s) / (over + n) for h, (n, s) in hosts.items()}
+    under = strength([(n, s, prior[k[0]]) for k, (n, s) in paths.items()])
+    for r in rows:
+        k = (r["source"], r["lang"])
+        n, s = paths[k]
+        others = (under * prior[k[0]] + s - r["p_text"]) / (under + n - 1)
+        want = 1 / (1 + np.exp(-(logit(r["p_text"]) + logit(others) - logit(share))))
+        assert abs(r["p_good"] - want) < 1e-9 and r["good"] == (r["p_good"] >= 0.5)
+        assert abs(r["p_site"] - (under * prior[k[0]] + s) / (under + n)) < 1e-9
+
+
+def test_evidence_is_fitted_to_the_optimum():
+    """The gradient of the penalised likelihood is 0 at the weights."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, len(quality.FEATURES)))
+    y = (rng.random(400) < 1 / (1 + np.exp(-x[:, 0] - 0.5 * x[:, 1]))).astype(float)
+    e = quality.fit_evidence(x, y)
+    z = quality.expanded(x, e.mean, e.scale)
+    rest = 1 / (1 + np.exp(-(z @ e.weights + e.bias))) - y
+    assert np.abs(z.T @ rest + 1e-2 * len(y) / 100 * e.weights).max() < 1e-4 and abs(rest.sum()) < 1e-4
+
+
+def test_chain_predicts_one_after_the_other(documents, labels):
+    """Probabilities by plain Python: each model sees the terms and the probabilities before its own."""
+    chain = toxicity.learn(documents, labels)
+    assert chain.categories == ["kind_1", "kind_2", "kind_3", "toxic"]
+    some = documents.where(F.length("text") < 3000).limit(60)
+    for r in toxicity.with_toxicity(some, chain).collect():
+        found, before = toxicity.terms(r["text"]), []
+        for k, name in enumerate(chain.categories):
+            w = chain.weights[k]
+            z = chain.bias[k] + sum(w[i] for i, term in enumerate(chain.words) if term in found) + sum(w[len(chain.words) + j] * p for j, p in enumerate(before))
+            before.append(1 / (1 + np.exp(-z)))
+            assert abs(r[f"p_{name}"] - before[-1]) < 1e-9
+
+
+def test_kinds_are_found_in_the_texts():
+    """Rows of one vocabulary are one kind; rows without any term have none."""
+    x = np.zeros((90, 30))
+    rng = np.random.default_rng(2)
+    for r in range(80):
+        x[r, 10 * (r % 3) + rng.choice(10, size=4, replace=False)] = 1
+    kinds = toxicity.kinds_of(x, 3)
+    assert (kinds[80:] == -1).all() and {tuple(set(kinds[k:80:3])) for k in range(3)} == {(0,), (1,), (2,)}
+    assert (toxicity.kinds_of(np.zeros((0, 5)), 3) == np.zeros(0)).all()
+
+
+def test_contradicting_labels_are_left_out(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c"), (3, "c"), (4, "d"), (5, "e"), (5, "f"), (6, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 0), (4, 1), (4, 1), (5, 0), (6, 0), (7, 1), (None, 1), (4, None)], "doc_id long, y int")
+    got = toxicity.labelled_sample(docs, labels, "doc_id", "text", ["y"], 100).collect()
+    assert sorted((r["_text"], r["y"]) for r in got) == [("", 0), ("d", 1), ("e", 0), ("f", 0)]
+    assert toxicity.labelled_sample(docs, labels, "doc_id", "text", ["y"], 2).count() <= 2
+    assert {r["_text"] for r in toxicity.labelled_sample(docs, labels, "doc_id", "text", ["y"], 100, letters=0).collect()} == {""}
+
+
 def test_sites_are_shrunk(spark):
     """A site of one document stays near the prior; a large bad one does not."""
     rows = [("big", "p", 0.05)] * 400 + [("good", "p", 0.95)] * 400 + [("tiny", "p", 0.05)] + [(None, None, 0.9)] * 3

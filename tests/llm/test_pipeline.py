@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 
+from .conftest import CLASHES
 from .test_near_copies import brute
 
 
@@ -35,5 +36,7 @@ def test_messy(spark, messy, no_docs, sf_dir):
         docs = df
         for _, stage in corpus_pipeline.STAGES[:-1]:
             docs = stage(spark, docs, sf_dir)
-            assert docs.columns == df.columns
+            assert docs.dtypes == df.dtypes
+            for r in docs.select(*[f"`{c}`" for c in CLASHES]).collect():
+                assert list(r) == list(range(len(CLASHES)))
         corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()

@@ -119,7 +119,10 @@ def with_range(rows: DataFrame, id_col: str, tie: str) -> DataFrame:
     cells = CELLS * CELLS
     at = F.percentile_approx(id_col, F.array(*[F.lit(k / cells) for k in range(cells + 1)]), F.lit(4 * cells))
     found, n = rows.agg(at, F.count("*")).first()
-    parts = max(1, min(MOST_RANGES, n // RANGE_ROWS) // cells)
+    wanted = max(1, min(MOST_RANGES, n // RANGE_ROWS))
+    step = max(1, cells // wanted)  # few rows need few of the quantiles
+    found = [*found[:-1:step], found[-1]] if found else None
+    parts = max(1, wanted // cells)
     edges = sorted(set(found or [0]))
     # An edge that stands m times holds m - 1 cells by itself: as many ranges for its ties.
     times = Counter(found or [0])

@@ -162,10 +162,17 @@ def _signed(bits) -> int:
     return v - (1 << 64) if v >= 1 << 63 else v
 
 
+def drawn(rows: DataFrame, total: int, n: int) -> DataFrame:
+    """About ``n`` of ``total`` distinct ``_fp``, by their hash: as many go to the driver from however many tasks."""
+    cut = min(1.0, n / max(1, total)) * (1 << 30)
+    return rows.where(F.pmod(F.xxhash64("_fp"), F.lit(1 << 30)) < cut).dropDuplicates(["_fp"])
+
+
 def links(fps: DataFrame, radius: int = 2) -> DataFrame:
     """All pairs ``a < b`` of distinct values of ``fps._fp`` within ``radius`` bits."""
-    sample = [r[0] for r in fps.orderBy(F.xxhash64("_fp")).limit(PLAN_SAMPLE).collect()]
-    plan = plan_search(sample, fps.count(), radius)
+    total = fps.count()
+    sample = [r[0] for r in drawn(fps, total, PLAN_SAMPLE).collect()]
+    plan = plan_search(sorted(sample), total, radius)
     index, probe = [], []
     for k, (part, t) in enumerate(plan):
         mask = _signed(part)
@@ -334,7 +341,7 @@ def similar(marked: DataFrame, total: int, parts: int, width: int, similarity: f
     like = Fraction(str(similarity))
     sketch = materialize(marked.select("_fp", "_n", "_parity").dropDuplicates(["_fp"]), "sketch", narrow=True)
     wide = marked.select("_fp", "_wide").dropDuplicates(["_fp"])
-    rows = marked.select("_fp", "_wide").orderBy(F.xxhash64("_fp"), "_fp").limit(PLAN_SAMPLE // 3).collect()
+    rows = drawn(marked.select("_fp", "_wide"), total, PLAN_SAMPLE // 3).collect()
     sample = np.array(sorted({tuple(r["_wide"]) for r in rows}) or [(0,) * (-(-parts * width // 64))], dtype="<i8")
     # One exchange of the keys serves both sides of the join.
     keys = wide_keys(wide, plan_wide(sample, total, parts, width)).repartition("token")

@@ -68,7 +68,8 @@ def near_links(fps: DataFrame, max_distance: int) -> DataFrame:
     are dealt into m parts with thresholds of 1 or 0 that sum to ``max_distance - m + 1``:
     a pair is within the threshold in one part at least. A threshold of 1 takes a key for
     each bit of the part, without that bit. So an equi-join on (bucket, part), which Spark
-    can spill and split, finds all pairs.
+    can spill and split, finds all pairs. It is a merge join by name: the planner takes the
+    exploded keys for as few bytes as the fingerprints and would send them all to the driver.
     """
     parts = max_distance // 2 + 1
     ones, cuts = max_distance - parts + 1, [56 * k // parts for k in range(parts + 1)]
@@ -83,7 +84,7 @@ def near_links(fps: DataFrame, max_distance: int) -> DataFrame:
     a, b = each.alias("a"), each.alias("b")
     near = (F.col("a._pos") < F.col("b._pos")) & (tx.hamming_distance(F.col("a._fp"), F.col("b._fp")) <= max_distance)
     same = (F.col("a.part") == F.col("b.part")) & (F.col("a.key") == F.col("b.key"))
-    return a.join(b, same & near).select(F.col("a._pos").alias("early"), F.col("b._pos").alias("late")).distinct()
+    return a.join(b.hint("merge"), same & near).select(F.col("a._pos").alias("early"), F.col("b._pos").alias("late")).distinct()
 
 
 def greedy_dropped(links: DataFrame) -> DataFrame:

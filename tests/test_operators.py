@@ -137,6 +137,12 @@ def greedy(fps, d=5):
     return out
 
 
+def test_near_links_send_no_keys_to_the_driver(spark):
+    fps = spark.range(10).select(F.col("id").alias("_fp"), F.col("id").alias("_pos"))
+    plan = dedup.near_links(fps, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_near_duplicates_are_greedy(spark):
     rng = random.Random(5)
     fps = []

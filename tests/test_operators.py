@@ -143,6 +143,17 @@ def test_near_links_send_no_keys_to_the_driver(spark):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_deduplicate_of_more_keys_than_a_broadcast_takes(spark):
+    """The fingerprints are under the threshold and their keys over it, as in a run over 1 GB."""
+    rows = spark.range(300).selectExpr("id AS pos", "sha2(string(id), 256) AS text", "string(id) AS content_hash")
+    plans = []
+    links = dedup.near_links
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(dedup, "near_links", lambda *a: plans.append(links(*a)) or plans[0])
+        out = dedup.deduplicate(rows)
+    assert out.count() == 300 and "Broadcast" not in plans[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_near_duplicates_are_greedy(spark):
     rng = random.Random(5)
     fps = []

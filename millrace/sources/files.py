@@ -26,9 +26,11 @@ BINARY_SUFFIXES = (
 DOCUMENT_SUFFIXES = (".md", ".mdx", ".rst", ".ipynb", ".txt")
 #: Fixed value: headings that open a paper's section.
 SECTION = (
-    r"(?imdu)(?U)^\s*(?:\d+\.?\s+)?(abstract|introduction|related work|background|methodology|methods|approach|experiments?|"
+    r"(?imdu)(?U)^\s*(?:\d+\.?[^\S\n]+)?(abstract|introduction|related work|background|methodology|methods|approach|experiments?|"
     r"results|discussion|conclusion|references|acknowledge?ments?)\s*$"
 )
+#: The same, where the number of a heading may stand on a line before it.
+SECTION_NUMBERED_ABOVE = SECTION.replace(r"[^\S\n]+", r"\s+")
 SECTION_CHARS = 8000
 
 DOCUMENT = T.StructType(
@@ -133,11 +135,15 @@ def arxiv_id(identifier: Column | str) -> Column:
     return F.nullif(F.regexp_extract(tx.col(identifier), r"([0-9]{4}\.[0-9]{4,5})(v[0-9]+)?", 0), F.lit(""))
 
 
-def segment_sections(body: Column | str, section_chars: int | None = SECTION_CHARS) -> Column:
+def segment_sections(body: Column | str, section_chars: int | None = SECTION_CHARS, numbered_above: bool = False) -> Column:
     """array<struct<heading, content>>: the last non-blank content of each heading, at the
-    place of its first, cut to ``section_chars`` letters (None: whole)."""
-    heads = F.transform(F.regexp_extract_all(tx.col(body), F.lit(SECTION), F.lit(1)), lambda h: F.lower(tx.strip(h)))
-    pieces = F.split(tx.col(body), SECTION, -1)
+    place of its first, cut to ``section_chars`` letters (None: whole).
+
+    A number alone on the line before a heading is content, or lost as the heading's
+    number with ``numbered_above``."""
+    section = SECTION_NUMBERED_ABOVE if numbered_above else SECTION
+    heads = F.transform(F.regexp_extract_all(tx.col(body), F.lit(section), F.lit(1)), lambda h: F.lower(tx.strip(h)))
+    pieces = F.split(tx.col(body), section, -1)
 
     def cut(content: Column) -> Column:
         return content if section_chars is None else F.left(content, F.lit(section_chars))
@@ -151,11 +157,13 @@ def segment_sections(body: Column | str, section_chars: int | None = SECTION_CHA
     return F.element_at(F.transform(F.array(F.struct(heads.alias("heads"), pieces.alias("pieces"))), build), 1)
 
 
-def paper_documents(papers: DataFrame, *, category: str = "uncategorized", section_chars: int | None = SECTION_CHARS) -> DataFrame:
+def paper_documents(
+    papers: DataFrame, *, category: str = "uncategorized", section_chars: int | None = SECTION_CHARS, numbered_above: bool = False
+) -> DataFrame:
     """Documents of rows (identifier, title, abstract, authors, body); rows without an id
     or title are dropped."""
     rows = papers.withColumn("_id", arxiv_id("identifier")).where("_id is not null and title is not null")
-    rows = rows.withColumn("_sections", F.coalesce(segment_sections("body", section_chars), F.array().cast("array<struct<heading:string,content:string>>")))
+    rows = rows.withColumn("_sections", F.coalesce(segment_sections("body", section_chars, numbered_above), F.array().cast("array<struct<heading:string,content:string>>")))
     parts = F.concat(F.lit("# "), F.col("title"), F.lit("\n\n## Abstract\n"), F.coalesce("abstract", F.lit("")))
     more = F.array_join(F.transform("_sections", lambda s: F.concat(F.lit("\n\n## "), F.initcap(s["heading"]), F.lit("\n"), s["content"])), "")
     out = rows.select(

@@ -143,8 +143,7 @@ def test_near_links_send_no_keys_to_the_driver(spark):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
-def test_deduplicate_of_more_keys_than_a_broadcast_takes(spark):
-    """The fingerprints are under the threshold and their keys over it, as in a run over 1 GB."""
+def test_deduplicate_sends_no_keys_to_the_driver(spark):
     rows = spark.range(300).selectExpr("id AS pos", "sha2(string(id), 256) AS text", "string(id) AS content_hash")
     plans = []
     links = dedup.near_links

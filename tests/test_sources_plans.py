@@ -90,6 +90,20 @@ def test_papers_query_keeps_long_sections(spark, tmp_path):
     assert "word end" in queries.QUERIES["src14_18_papers"](spark, str(tmp_path)).first()["text"]
 
 
+def test_papers_query_keeps_a_last_line_that_is_a_number(spark, tmp_path):
+    """A license line that the cut at 300 letters splits leaves "0." before the next heading."""
+    ends = [("x" * 273 + " licensed under CC BY-NC 4.0."), ("y" * 298 + "3."), ("z" * 300 + "\n12")]
+    docs = [(3 * k, t.rjust(302, "q") if k == 0 else t, "en", "a", len(t)) for k, t in enumerate(ends)]
+    assert docs[0][1][300:] == "0."
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    same(queries.QUERIES["src14_18_papers"](spark, str(tmp_path)), con, queries.ORACLE["src14_18_papers"])
+    above = spark.createDataFrame([("2305.18290", "T", "", ["A"], "Abstract\na\n0.\nResults\nb")], "identifier string, title string, abstract string, authors array<string>, body string")
+    assert "a\n0.\n" in files.paper_documents(above).first()["text"]
+    assert "0." not in files.paper_documents(above, numbered_above=True).first()["text"]
+
+
 def test_atom(spark):
     xml = '<feed xmlns="http://www.w3.org/2005/Atom"><entry><title> T </title><summary>S</summary><author><name>N</name></author><link title="pdf" href="h"/></entry></feed>'
     assert spark.createDataFrame([(xml,)], "x string").select(*files.atom_entries("x")).first() == ("T", "S", ["N"], "h")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..plans import storage
 from ..plans.storage import drop_files_of, hadoop_path, materialize, new_path, scratch, shared_dir, spread
 
-__all__ = ["drop_files_of", "fresh", "hadoop_path", "in_few_parts", "let", "materialize", "new_path", "packed", "running_sums", "scratch", "shared_dir", "ship", "spread"]
+__all__ = ["drop_files_of", "fresh", "hadoop_path", "in_few_files", "in_few_parts", "let", "materialize", "new_path", "packed", "running_sums", "scratch", "shared_dir", "ship", "spread"]
 
 #: Most rows and bytes that go to a Python worker at once: texts may be very long.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
@@ -45,6 +45,16 @@ def in_few_parts(df: DataFrame) -> DataFrame:
     return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
 
 
+def in_few_files(df: DataFrame) -> DataFrame:
+    """``df`` in a part for each core, for tables that are written on the way.
+
+    On a local file system without Hadoop's native library an executor forks to set the
+    permissions of each file that it writes, and for a moment the child counts as large
+    as the executor's JVM.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, whatever the optimizer inlines."""
     return F.element_at(F.transform(F.array(value), body), 1)

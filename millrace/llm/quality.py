@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_few_parts, materialize, packed
+from .common import in_few_files, materialize, packed
 from .toxicity import labelled_sample
 
 SAMPLE_DOCS = 12_000
@@ -197,12 +197,11 @@ def quality(
 ) -> DataFrame:
     """``id_col``, ``p_text``, ``p_site``, ``p_good`` and ``good``, per document."""
     model = learn(docs, labels, id_col=id_col, text=text)
-    scored = materialize(
-        docs.select(F.col(id_col).alias("_id"), F.col(host).alias("_host"), F.col(path).alias("_path"), evidence(F.col(text), model).alias("_p")), "evidence"
-    )
+    scored = docs.select(F.col(id_col).alias("_id"), F.col(host).alias("_host"), F.col(path).alias("_path"), evidence(F.col(text), model).alias("_p"))
+    scored = materialize(in_few_files(scored), "evidence")
     paths, strength, share = site_posteriors(scored)
     site = (F.lit(strength) * F.col("_prior") + F.col("_good")) / (F.lit(strength) + F.col("_n"))
-    final = in_few_parts(_with_sites(scored, paths)).withColumn("p_good", _final(F.col("_p"), strength, share))
+    final = in_few_files(_with_sites(scored, paths)).withColumn("p_good", _final(F.col("_p"), strength, share))
     return final.select(F.col("_id").alias(id_col), F.col("_p").alias("p_text"), site.alias("p_site"), "p_good", (F.col("p_good") >= threshold).alias("good"))
 
 

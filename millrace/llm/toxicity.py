@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, materialize, packed
+from .common import fresh, in_few_files, materialize, packed
 
 SAMPLE_DOCS, SAMPLE_LETTERS = 12_000, 100_000_000
 FEATURES = 600
@@ -206,7 +206,7 @@ def labelled_sample(
     some = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     # A row for each label: at most ``bound`` rows of numbers are broadcast.
     joined = some.join(F.broadcast(few), "_id").drop("_id").withColumn("_key", F.xxhash64("_text"))
-    joined = materialize(joined, "labelled-texts")
+    joined = materialize(in_few_files(joined), "labelled-texts")
     sizes = agreed(joined.withColumn("_size", F.length("_text")).drop("_text"), "_key", F.max("_size").alias("_size"))
     keys, room = [], letters
     for r in sizes.select("_key", "_size").orderBy("_key").limit(bound).collect():  # numbers

@@ -257,3 +257,20 @@ def test_language_prediction_reads_text_alone(documents):
     a = {r["doc_id"]: r["lang_pred"] for r in language.with_language(documents, words).collect()}
     b = {r["doc_id"]: r["lang_pred"] for r in language.with_language(other, words).collect()}
     assert a == b
+
+
+def test_quality_writes_few_files(spark, labels, documents, monkeypatch):
+    """However many parts the documents come in: an executor forks for each file that it writes."""
+    written = {}
+
+    def counted(df, tag, narrow=False, materialize=quality.materialize):
+        out = materialize(df, tag, narrow)
+        written[tag] = len(out.inputFiles())
+        return out
+
+    for module in (quality, toxicity):
+        monkeypatch.setattr(module, "materialize", counted)
+    out = quality.quality(documents.repartition(40), labels)
+    cores = spark.sparkContext.defaultParallelism
+    assert out.rdd.getNumPartitions() <= cores and {"evidence", "labelled-texts"} <= set(written)
+    assert max(written["evidence"], written["labelled-texts"]) <= cores

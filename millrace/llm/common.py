@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import storage
 from ..plans.storage import drop_files_of, hadoop_path, materialize, new_path, scratch, shared_dir, spread
 
-__all__ = ["drop_files_of", "fresh", "hadoop_path", "in_few_files", "in_few_parts", "let", "materialize", "new_path", "packed", "running_sums", "scratch", "shared_dir", "ship", "spread"]
+__all__ = ["drop_files_of", "fresh", "hadoop_path", "in_few_files", "in_few_parts", "let", "materialize", "new_path", "packed", "release", "running_sums", "scratch", "shared_dir", "ship", "spread"]
 
 #: Most rows and bytes that go to a Python worker at once: texts may be very long.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
@@ -55,6 +58,16 @@ def in_few_files(df: DataFrame) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+def release() -> None:
+    """Give what a Python worker no longer uses back to the system, at the end of a task.
+
+    Workers are kept for the next stages, and count towards their executor's memory.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc's
+        trim(0)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, whatever the optimizer inlines."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import bytebpe
+from .common import release
 
 CAPACITY = 1024
 #: Windows that a task holds open at most: its memory, and the work at its end.
@@ -180,6 +181,8 @@ def pack_documents(
         packer.close()
         for at in range(0, len(rows), _OUT_ROWS):
             yield batch_of(rows[at : at + _OUT_ROWS])
+        rows.clear()
+        release()
 
     return kept.mapInArrow(run, schema)
 

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_few_files, materialize, packed
+from .common import in_few_files, materialize, packed, release
 from .toxicity import labelled_sample
 
 SAMPLE_DOCS = 12_000
@@ -143,6 +143,7 @@ def evidence(text: Column, model: Evidence) -> Column:
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for some in texts:
             yield pd.Series(model.predict(some.tolist()))
+        release()
 
     return scored(text.cast("string"))
 

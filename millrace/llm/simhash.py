@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_files_of, in_few_parts, materialize, packed
+from .common import drop_files_of, in_few_parts, materialize, packed, release
 from .components import connected_components
 from .shingle_sets import CELLS, MORE_CELLS, SEED, checked, parity, shingle_set
 
@@ -93,6 +93,7 @@ def with_fingerprint(docs: DataFrame, columns: list[Column], text: str = "text",
             fps = pa.array([fingerprint(x.as_py(), words) for x in batch.column(at)], pa.int64())
             names = [f.name for k, f in enumerate(batch.schema) if k != at]
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [fps], names=[*names, "_fp"])
+        release()
 
     schema = T.StructType([*kept.drop("_body").schema.fields, T.StructField("_fp", T.LongType())])
     return kept.mapInArrow(run, schema)
@@ -270,6 +271,7 @@ def with_shingles(docs: DataFrame, columns: list[Column], text: str, words: int,
             columns = [batch.column(n) for n in names]
             columns += [fps, pa.array(list(map(len, sets)), pa.int64()), *[pa.array(m, pa.list_(pa.int64())) for m in made], lists]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *[f.name for f in more]])
+        release()
 
     return kept.mapInArrow(run, T.StructType([*kept.drop("_body").schema.fields, *more]))
 
@@ -332,6 +334,7 @@ def wide_keys(marked: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame
                     number += 1
             columns = [np.concatenate(tokens), np.tile(ids, len(tokens))]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["token", "_fp"])
+        release()
 
     return marked.select("_fp", "_wide").mapInArrow(run, "token long, _fp long")
 

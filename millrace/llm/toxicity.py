@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, in_few_files, materialize, packed
+from .common import fresh, in_few_files, materialize, packed, release
 
 SAMPLE_DOCS, SAMPLE_LETTERS = 12_000, 100_000_000
 FEATURES = 600
@@ -244,6 +244,7 @@ def learn(
                 part = pdf.iloc[at : at + 64]
                 found = [list(terms(t)) for t in part["_text"]]
                 yield pd.DataFrame({"w": [w for f in found for w in f], last: np.repeat(part[last].to_numpy(), [len(f) for f in found])})
+        release()
 
     words = sample.select(last, "_text").mapInPandas(all_terms, f"w string, {last} int")
     seen = words.groupBy("w").agg(F.count("*").alias("n"), F.sum(last).alias("n1"))
@@ -283,6 +284,7 @@ def _scored(text: Column, chain: Chain) -> Column:
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for some in texts:
             yield pd.DataFrame(chain.predict(some.tolist()), columns=chain.categories)
+        release()
 
     return scored(text.cast("string"))
 

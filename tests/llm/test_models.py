@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import language, quality, toxicity
+from millrace.llm.common import release
 
 from .conftest import MESSY
 
@@ -274,3 +275,16 @@ def test_quality_writes_few_files(spark, labels, documents, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     assert out.rdd.getNumPartitions() <= cores and {"evidence", "labelled-texts"} <= set(written)
     assert max(written["evidence"], written["labelled-texts"]) <= cores
+
+
+def test_workers_give_memory_back():
+    import psutil
+    import pyarrow as pa
+
+    held = [bytes(1000) + bytes([k % 250]) for k in range(200_000)]
+    kept = [held[-1], pa.array(held)]
+    resident = lambda: psutil.Process().memory_info().rss
+    before = resident()
+    del held, kept
+    release()
+    assert resident() < before - 200e6

@@ -98,11 +98,11 @@ def greedy_dropped(links: DataFrame) -> DataFrame:
     dropped = []
     while not todo.isEmpty():
         late = todo.select(F.col("late").alias("_pos")).distinct()
-        kept = todo.select(F.col("early").alias("_pos")).distinct().join(late, "_pos", "left_anti")
-        gone = materialize(todo.join(kept, todo["early"] == kept["_pos"]).select(F.col("late").alias("_pos")).distinct(), "near-dropped", narrow=True)
+        kept = todo.select(F.col("early").alias("_pos")).distinct().join(late.hint("merge"), "_pos", "left_anti")
+        gone = materialize(todo.join(kept.hint("merge"), todo["early"] == kept["_pos"]).select(F.col("late").alias("_pos")).distinct(), "near-dropped", narrow=True)
         dropped.append(gone)
-        left = todo.join(gone, todo["late"] == gone["_pos"], "left_anti")
-        left = left.join(gone, left["early"] == gone["_pos"], "left_anti")
+        left = todo.join(gone.hint("merge"), todo["late"] == gone["_pos"], "left_anti")
+        left = left.join(gone.hint("merge"), left["early"] == gone["_pos"], "left_anti")
         new = materialize(left, "near-links", narrow=True)
         drop_files_of(todo)
         todo = new
@@ -116,24 +116,29 @@ def mark_near(docs: DataFrame, *, fingerprint: str = "simhash", pos: str = "pos"
 
     Equal fingerprints are collapsed to their first position first: a later copy of a
     kept text is near it, and one of a dropped text is near what that was dropped for.
+    Tables with a row for each text are joined by merging, by name: their files of a few
+    numbers a row are so small that the planner would send all rows to the driver.
     """
     max_distance = math.floor((1 - threshold) * 64 + 1e-9)
     firsts = materialize(docs.groupBy(F.col(fingerprint).alias("_fp")).agg(F.min(pos).alias("_pos")), "first-fingerprints", narrow=True)
     dropped = greedy_dropped(near_links(firsts, max_distance)).withColumn("_dropped", F.lit(True))
-    kept_at = firsts.join(dropped, "_pos", "left").select("_fp", F.when(F.col("_dropped"), -1).otherwise(F.col("_pos")).alias("_kept_pos"))
+    kept_at = firsts.join(dropped.hint("merge"), "_pos", "left").select("_fp", F.when(F.col("_dropped"), -1).otherwise(F.col("_pos")).alias("_kept_pos"))
     bucket = F.shiftrightunsigned("_fp", 56)
     heads = firsts.groupBy(bucket.alias("_bucket")).agg(F.min("_pos").alias("bucket_pos"))
-    joined = docs.join(kept_at, F.col(fingerprint) == F.col("_fp")).withColumn("_bucket", bucket).join(F.broadcast(heads), "_bucket")  # 256 rows at most
+    joined = docs.join(kept_at.hint("merge"), F.col(fingerprint) == F.col("_fp")).withColumn("_bucket", bucket).join(F.broadcast(heads), "_bucket")  # 256 rows at most
     return joined.withColumn("is_near_duplicate", F.col(pos) != F.col("_kept_pos")).drop("_fp", "_kept_pos", "_bucket")
 
 
 def deduplicate(docs: DataFrame, *, threshold: float = 0.92, pos: str = "pos", content: str = "content_hash", text: str = "text") -> DataFrame:
-    """All rows with ``dedup_status`` (kept, exact, near) and ``out_pos``, the order after it."""
+    """All rows with ``dedup_status`` (kept, exact, near) and ``bucket_pos``, which gives the order after it.
+
+    Joins are merge joins by name, as in ``mark_near``.
+    """
     exact = materialize(mark_exact(docs.select(pos, content), content=content, pos=pos).select(pos, "is_exact_duplicate"), "exact", narrow=True)
-    left = docs.select(pos, text).join(exact.where("not is_exact_duplicate"), pos, "left_semi")
+    left = docs.select(pos, text).join(exact.where("not is_exact_duplicate").hint("merge"), pos, "left_semi")
     prints = materialize(simhash(left, text=text).select(pos, "simhash"), "simhash")
     status = mark_near(prints, pos=pos, threshold=threshold)
-    joined = docs.join(exact, pos).join(status, pos, "left")
+    joined = docs.join(exact.hint("merge"), pos).join(status.hint("merge"), pos, "left")
     return joined.withColumn(
         "dedup_status", F.when(F.col("is_exact_duplicate"), "exact").when(F.col("is_near_duplicate"), "near").otherwise("kept")
     ).drop("is_exact_duplicate", "is_near_duplicate")

@@ -153,6 +153,20 @@ def test_deduplicate_sends_no_keys_to_the_driver(spark):
     assert out.count() == 300 and "Broadcast" not in plans[0]._jdf.queryExecution().executedPlan().toString()
 
 
+def test_deduplicate_sends_no_table_of_texts_to_the_driver(spark):
+    """Each of these tables is far under the broadcast threshold, as its files are at 1 GB of texts."""
+    rows = spark.range(40).selectExpr("id AS pos", "concat(array_join(sequence(1, 200), ' '), ' ', id % 20) AS text", "string(id % 20) AS content_hash")
+    plans = {}
+    write = dedup.materialize
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(dedup, "materialize", lambda df, tag, **o: plans.setdefault(tag, []).append(df._jdf.queryExecution().sparkPlan().toString()) or write(df, tag, **o))
+        out = dedup.deduplicate(rows)
+    assert all("Broadcast" not in p for tag in ("simhash", "near-links", "near-dropped") for p in plans[tag])
+    joins = out._jdf.queryExecution().sparkPlan().toString()
+    assert joins.count("BroadcastHashJoin") == 1 and joins.count("SortMergeJoin") == 4  # the heads of 256 buckets
+    assert {r["dedup_status"]: r["n"] for r in out.groupBy("dedup_status").agg(F.count("*").alias("n")).collect()}["near"] > 0
+
+
 def test_near_duplicates_are_greedy(spark):
     rng = random.Random(5)
     fps = []

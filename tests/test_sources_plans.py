@@ -160,6 +160,17 @@ def test_whole_run(spark, sf_dir, tmp_path):
     assert json.loads((tmp_path / "reports/r.json").read_text())["documents_collected"] == n
 
 
+def test_pipeline_examples_leave_no_table_on_the_way(spark, sf_dir):
+    from millrace.plans.storage import hadoop_path, shared_dir
+
+    fs, folder = hadoop_path(spark, shared_dir(spark))
+    there = lambda: {f.getPath().getName() for f in fs.listStatus(folder)}
+    queries.md(spark, sf_dir)
+    before = there()
+    out = queries.QUERIES["gen10_pipeline_examples"](spark, sf_dir)
+    assert out.count() > 0 and [n.split("-")[1] for n in there() - before] == ["ranked"]
+
+
 CONFIG = """
 project_name: p
 directories: {{root: {d}/x, raw: {d}/x, intermediate: {d}/x, clean: {d}/x, processed: {d}/x, instruction: {d}/x, reports: {d}/x, logs: {d}/x}}
